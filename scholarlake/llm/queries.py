@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from scholarlake.llm import mojibake
+from scholarlake.llm import mojibake, truncation
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -22,6 +22,15 @@ def p3_restored(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mojibake.garbled(_table(spark, sf_dir, "paper_records"), "record_id", ["title", "abstract"])
 
 
+def p4_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    records = _table(spark, sf_dir, "paper_records")
+    return truncation.truncated(records, "record_id", "abstract", "abstract_source").select("record_id")
+
+
+def p4_rates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return truncation.rates(_table(spark, sf_dir, "paper_records"), "record_id", "abstract", "abstract_source")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {name: f for name, f in globals().items() if name[:1] == "p" and name[1:2].isdigit()}
 
