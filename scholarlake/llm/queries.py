@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from scholarlake.llm import mojibake, truncation
+from scholarlake.llm import mojibake, neartitles, truncation
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -31,9 +31,30 @@ def p4_rates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return truncation.rates(_table(spark, sf_dir, "paper_records"), "record_id", "abstract", "abstract_source")
 
 
+def p5_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pairs = neartitles.similar_pairs(_table(spark, sf_dir, "intra_title_duplicates"), "normalized_title")
+    return pairs.selectExpr("a as title_a", "b as title_b")
+
+
+def p5_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neartitles.groups(_table(spark, sf_dir, "intra_title_duplicates"), "normalized_title")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {name: f for name, f in globals().items() if name[:1] == "p" and name[1:2].isdigit()}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return ORACLES
+
+
+ORACLES = {
+    "p5_found": """
+        with v as (select distinct normalized_title t from intra_title_duplicates where normalized_title is not null),
+        w as (select distinct t, unnest(string_split(t, ' ')) x from v),
+        k as (select t, x from w where x <> ''),
+        n as (select t, count(*) n from k group by t),
+        s as (select a.t a, b.t b, count(*) c from k a join k b on a.x = b.x and a.t < b.t group by 1, 2)
+        select a as title_a, b as title_b from s join n p on p.t = a join n q on q.t = b
+        where 10 * c >= 7 * (p.n + q.n - c)""",
+}
