@@ -4,9 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from scholarlake.llm import mojibake, neartitles, truncation
+from scholarlake.llm import bpe, leaks, mojibake, neartitles, truncation
+
+#: The rank file of the public tokenizer byte_bpe_50k.
+TOKENIZER = "/opt/tokenizers/byte_bpe_50k.tiktoken"
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -40,6 +43,23 @@ def p5_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neartitles.groups(_table(spark, sf_dir, "intra_title_duplicates"), "normalized_title")
 
 
+def p6_ids(spark: SparkSession, sf_dir: str, tokenizer: str = TOKENIZER) -> DataFrame:
+    return bpe.encode(_table(spark, sf_dir, "documents"), "doc_id", "text", tokenizer)
+
+
+def _leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return leaks.leaks(_table(spark, sf_dir, "documents"), "doc_id", "text", _table(spark, sf_dir, "eval_items"), "item_id", "text")
+
+
+def p7_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _leaks(spark, sf_dir).selectExpr("doc as doc_id", "item as item_id")
+
+
+def p7_items(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How many documents leak each item, and the largest share of it."""
+    return _leaks(spark, sf_dir).groupBy("item").agg(F.count("*").alias("documents"), F.max("share").alias("largest_share"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {name: f for name, f in globals().items() if name[:1] == "p" and name[1:2].isdigit()}
 
