@@ -25,6 +25,7 @@ import html
 import math
 import re
 import unicodedata
+from collections import Counter
 from collections.abc import Iterator
 from functools import lru_cache, partial
 
@@ -41,9 +42,9 @@ TERMS = {
     "insult": "moron idiot imbecile cretin halfwit dumbass scumbag dimwit nitwit retard retarded jackass dipshit dumb stupid brainless spineless pathetic worthless filthy loser clown parasite vermin scum lowlife pig swine cockroach subhuman ugly useless disgusting vollidiot trottel hirnlos hirnloser idioten dummkopf abschaum ungeziefer cretin imbecile debile abruti vermine ordure idiota imbecil estupido basura escoria lixo burro verme идиот дебил тупой урод тварь ублюдок придурок дурак 白痴 蠢货 废物 垃圾 人渣 畜生 傻瓜",
     "dirt": "crap garbage trash sewage drivel rubbish dreck dung",
     "sex": "porn porno pornography xxx nude nudes naked tits boobs nipples pussy cock dick cum cumming horny erotic orgasm blowjob handjob masturbate masturbating uncensored hardcore milf hooker escort thighs moaned moaning straddled undressed underwear panties lingerie licked sweaty breasts oral sex sexy desnudas desnuda desnudos sexo nackt nackte titten geil nue nues bite nua peituda голая голые порно сиськи трахать секс 裸体 色情 做爱 性交 淫荡",
-    "harm": "kill kills murder die dead hang hanged burn beat beaten smash stab shoot rape choke bat knees legs fingers throat lynch gas exterminate deport erschiessen töten geprügelt vergasen chasse tuer crever matar patadas ahorcar убить сдохни вешать 去死 杀",
-    "group": "race breed folk immigrants believers migrants foreigners refugees natives tribe blacks whites jews muslims gays women natives inferior animals liars thieves driven smell",
-    "person": "you your yours yourself reviewer reviewers author authors editor editors chair presenter moderator speaker committee du dich dir dein ihr euch toi tu vous ton tes te ti tu usted vosotros voce seu ты тебя тебе твой вы вас 你 你们",
+    "harm": "kill kills murder dead hang hanged burn beat beaten smash stab shoot rape choke bat knees legs fingers teeth throat mouth accident houses home address lynch gas exterminate deport erschiessen töten geprügelt vergasen chasse tuer crever matar patadas ahorcar убить сдохни вешать 去死 杀",
+    "group": "people humans brain monkey ape rats dogs coward race breed folk immigrants believers migrants foreigners refugees natives tribe blacks whites jews muslims gays women natives inferior animals liars thieves driven smell",
+    "person": "you your yours yourself reviewer reviewers author authors editor editors chair presenter moderator speaker du dich dir dein ihr euch toi tu vous ton tes te ti tu usted vosotros voce seu ты тебя тебе твой вы вас 你 你们",
     "sober": "study studies classifier classifiers lexicon lexicons detection detect annotators annotated rated questionnaire participants patients adults clinics cancer screening covariates models cells cell larvae culture districts survey percent scheduler process node nodes olive oil samples wax baseline class software tests endpoints key proof appendix paper evaluation claims posts toxicity speech language analysis dataset results health",
 }
 #: Letters that stand for others (fixed values).
@@ -194,13 +195,18 @@ def features(sentence: str, ordinary: frozenset[str]) -> list[str]:
     bad = present & {"foul", "insult", "dirt", "sex", "harm", "group"}
     names += [f"both:{a}+{b}" for a in bad for b in present & {"person", "sober", "group", "harm"} if a != b]
     number = sum(k in ("foul", "insult", "dirt") for k in kinds)
+    names += [f"two:{k}" for k in ("group", "harm") if kinds.count(k) >= 2]
     names += ["several"] * (number >= 2) + ["two:sex"] * (sum(k == "sex" for k in kinds) >= 2)
-    names += [f"w:{w}" for w in set(words)] + [f"p:{a} {b}" for a, b in set(zip(words, words[1:]))]
+    names += [f"w:{w}" for w in set(words) if len(w) > 3 or not w.isascii() or w == "<person>"] + [f"p:{a} {b}" for a, b in set(zip(words, words[1:]))]
     return names
 
 
 #: What the kinds alone say before any label is seen (fixed values).
-PRIOR = {"kind:foul": 3.0, "kind:insult": 1.0, "kind:dirt": 0.3, "kind:sex": 0.3, "kind:harm": 0.2, "kind:group": 0.2, "both:insult+person": 1.5, "both:dirt+person": 0.8, "both:foul+person": 1.0, "both:harm+person": 0.8, "both:insult+group": 1.0, "both:harm+group": 0.8, "masked": 2.5, "several": 1.5, "two:sex": 2.0, "kind:sober": -1.0, "both:insult+sober": -0.5, "both:sex+sober": -1.2, "both:harm+sober": -0.8, "": -2.5}
+PRIOR = {"kind:foul": 3.0, "kind:insult": 1.0, "kind:dirt": 0.3, "kind:sex": 0.3, "kind:harm": 0.2, "kind:group": 0.2, "both:insult+person": 1.5, "both:dirt+person": 0.8, "both:foul+person": 1.0, "both:harm+person": 0.8, "both:insult+group": 1.0, "both:harm+group": 0.8, "masked": 2.5, "several": 1.5, "two:sex": 2.0, "two:group": 1.5, "two:harm": 1.0, "kind:sober": -1.0, "both:insult+sober": -0.5, "both:sex+sober": -1.2, "both:harm+sober": -0.8, "": -2.5}
+
+
+#: Kinds that a sentence must show, or else words that the ratings single out.
+_GROUNDS = frozenset(f"kind:{k}" for k in ("foul", "insult", "dirt", "sex", "harm", "group"))
 
 
 class Model:
@@ -208,7 +214,10 @@ class Model:
         self.weights, self.ordinary, self.bias = weights, ordinary, weights[""]
 
     def score(self, sentence: str) -> float:
-        z = self.bias + sum(self.weights.get(f, 0.0) for f in features(sentence, self.ordinary))
+        seen = features(sentence, self.ordinary)
+        z = self.bias + sum(self.weights.get(f, 0.0) for f in seen)
+        if z > 0 and not any(f in _GROUNDS or (f[:2] in ("w:", "p:") and self.weights.get(f, 0.0) > 0.6) for f in seen):
+            z = min(z, -0.1)  # nothing but the company of ordinary words
         return 1 / (1 + math.exp(-max(-30.0, min(30.0, z))))
 
     def document(self, text: str | None) -> tuple[float, list[str], str | None]:
@@ -222,13 +231,17 @@ class Model:
         return best, sorted(kinds), worst if best >= 0.5 else None
 
 
-def fit(rated: list[tuple[str, float, float]], ordinary: frozenset[str], steps: int = 400, strength: float = 0.02) -> dict[str, float]:
+def fit(rated: list[tuple[str, float, float]], ordinary: frozenset[str], steps: int = 1500, strength: float = 0.008) -> dict[str, float]:
     """Logistic weights for (text, share rated as bad, weight), drawn towards
-    the prior by ridge regularisation."""
+    the prior by ridge regularisation.  Single words are drawn harder, and
+    those of one rated text are left out, so that no chance word decides."""
     made = [features(t, ordinary) for t, _, _ in rated]
+    texts = Counter(n for f in made for n in set(f))
+    made = [[n for n in f if texts[n] > 1 or n[1:2] != ":"] for f in made]
     names = {n: i for i, n in enumerate(sorted({n for f in made for n in f} | set(PRIOR)))}
     start = np.array([PRIOR.get(n, 0.0) for n in names])
     w = start.copy()
+    pull = strength * np.array([4.0 if n.startswith("w:") else 1.0 for n in names])
     if rated:
         x = np.zeros((len(rated), len(names)))
         for i, f in enumerate(made):
@@ -240,7 +253,7 @@ def fit(rated: list[tuple[str, float, float]], ordinary: frozenset[str], steps:
         step = 2.0
         for _ in range(steps):
             p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
-            w -= step * (x.T @ (much * (p - y)) + strength / len(rated) * (w - start))
+            w -= step * (x.T @ (much * (p - y)) + pull / len(rated) * (w - start))
     return {n: float(w[i]) for n, i in names.items()}
 
 

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from scholarlake.llm import bpe, leaks, mojibake, neartitles, truncation
+from scholarlake.llm import abuse, bpe, leaks, mojibake, neartitles, truncation
 
 #: The rank file of the public tokenizer byte_bpe_50k.
 TOKENIZER = "/opt/tokenizers/byte_bpe_50k.tiktoken"
@@ -60,6 +60,21 @@ def p7_items(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _leaks(spark, sf_dir).groupBy("item").agg(F.count("*").alias("documents"), F.max("share").alias("largest_share"))
 
 
+def p8_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents, labels = _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "content_labels")
+    return abuse.scores(documents, "doc_id", "text", "source", labels, "text", "label").withColumnRenamed("doc", "doc_id")
+
+
+def p8_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return p8_scores(spark, sf_dir).where("score >= 0.5").select("doc_id")
+
+
+def p8_rates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    bad = F.sum(F.when(F.col("score") >= 0.5, 1).otherwise(0))
+    rates = p8_scores(spark, sf_dir).groupBy("source").agg(F.count("*").alias("documents"), bad.alias("flagged"), F.avg("score").alias("mean_score"))
+    return rates.withColumn("rate", F.round(F.col("flagged") / F.col("documents"), 6))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {name: f for name, f in globals().items() if name[:1] == "p" and name[1:2].isdigit()}
 
