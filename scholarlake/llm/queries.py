@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from scholarlake.llm import abuse, bpe, leaks, mojibake, neartitles, truncation
+from scholarlake.llm import abuse, bpe, entities, leaks, mojibake, neartitles, truncation
 
 #: The rank file of the public tokenizer byte_bpe_50k.
 TOKENIZER = "/opt/tokenizers/byte_bpe_50k.tiktoken"
@@ -16,6 +16,14 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def p1_matches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return entities.matches(_table(spark, sf_dir, "paper_records"), "record_id", _table(spark, sf_dir, "arxiv_hits"), "hit_id")
+
+
+def p1_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return p1_matches(spark, sf_dir).select("record_id", "hit_id").distinct()
+
+
 def p3_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     records = _table(spark, sf_dir, "paper_records")
     return mojibake.garbled(records, "record_id", ["title", "abstract"]).select("record_id", "field")
