@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from scholarlake.llm import abuse, bpe, entities, leaks, mojibake, neartitles, truncation
+from scholarlake.llm import abuse, bpe, entities, fusion, leaks, mojibake, neartitles, truncation
 
 #: The rank file of the public tokenizer byte_bpe_50k.
 TOKENIZER = "/opt/tokenizers/byte_bpe_50k.tiktoken"
@@ -24,6 +24,15 @@ def p1_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return p1_matches(spark, sf_dir).select("record_id", "hit_id").distinct()
 
 
+def p2_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    best = fusion.survivors(_table(spark, sf_dir, "intra_title_duplicates"))
+    return best.select("category", "normalized_title", "survivor_id")
+
+
+def p2_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fusion.completed(_table(spark, sf_dir, "intra_title_duplicates"), _table(spark, sf_dir, "search_papers"))
+
+
 def p3_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     records = _table(spark, sf_dir, "paper_records")
     return mojibake.garbled(records, "record_id", ["title", "abstract"]).select("record_id", "field")
@@ -92,6 +101,13 @@ def oracle_sql() -> dict[str, str]:
 
 
 ORACLES = {
+    "p2_found": """
+        with o as (
+            select category, normalized_title, lower(trim(kept_paperId)) paper, kept_citations c, logged_at from intra_title_duplicates
+            union all
+            select category, normalized_title, lower(trim(dropped_paperId)), dropped_citations, logged_at from intra_title_duplicates),
+        l as (select category, normalized_title, paper, arg_max(c, logged_at) c from o where c is not null and paper is not null and paper not in ('', 'n/a') group by all)
+        select category, normalized_title, arg_max(paper, row(c, paper)) as survivor_id from l group by all""",
     "p5_found": """
         with v as (select distinct normalized_title t from intra_title_duplicates where normalized_title is not null),
         w as (select distinct t, unnest(string_split(t, ' ')) x from v),
