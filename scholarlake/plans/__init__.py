@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 Query = Callable[[SparkSession, str], DataFrame]
 
 #: The modules of this package that hold ``QUERIES`` and ``ORACLES``.
-AREAS: tuple[str, ...] = ()
+AREAS: tuple[str, ...] = ("dedup",)
 
 
 def _areas():
@@ -26,4 +26,4 @@ def oracle_sql() -> dict[str, str]:
 
 
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/search_papers.parquet")
+    return queries()["title_stats"](spark, sf_dir)
