@@ -2,9 +2,10 @@
 
 Method: each side's rows are reduced to distinct profiles (title words, author
 surnames with initials, year).  Candidates come from MinHash blocking across
-attributes: a block is named by one MinHash of the surnames together with one of
-the title words, so a common title or a common name alone fills no block; where
-one side has no authors, bands of the title's MinHash are used.  Each candidate
+attributes: a block is named by one MinHash of the authors together with one of
+the title words, rare ones weighing more, so a common title or a common name
+alone fills no block; where one side has no authors, bands of the title's MinHash
+are used.  Each candidate
 pair gets similarity features, and a logistic model fitted to weak labels (the
 plainly same and the plainly different pairs) turns them into a probability,
 calibrated on weak labels held out from the fit.
@@ -24,6 +25,7 @@ from __future__ import annotations
 
 import difflib
 import html
+import math
 import re
 import unicodedata
 from collections.abc import Iterator
@@ -47,7 +49,7 @@ _WORD = re.compile(r"[⺀-힯]|(?:[^\W_⺀-힯]|�)+")
 _COMMAND = re.compile(r"\\[A-Za-z]+\s*(?=\{)|\\[A-Za-z]{3,}\s")
 _NUMBER = re.compile(r"\d+|i{1,3}|iv|vi{0,3}|ix|x")
 _PARTICLES = frozenset("van von de der den di da dos du la le del el al bin ibn ter".split())
-SURNAME_HASHES, TITLE_HASHES = 2, 5
+SURNAME_HASHES, TITLE_HASHES, RARE_WORDS = 3, 8, 2
 
 
 @lru_cache(maxsize=1 << 16)
@@ -100,8 +102,11 @@ def _hash(text: str, seed: int) -> int:
     return xxhash.xxh3_64_intdigest(text, seed)
 
 
-_PROFILE = pa.schema([("id", pa.int64()), ("pid", pa.int64()), ("words", pa.list_(pa.string())), ("names", pa.list_(pa.string())), ("year", pa.int32()), ("keys", pa.list_(pa.int64())), ("loose", pa.list_(pa.int64()))])
-_PROFILE_SQL = "id bigint, pid bigint, words array<string>, names array<string>, year int, keys array<bigint>, loose array<bigint>"
+_PROFILE = pa.schema([("id", pa.int64()), ("pid", pa.int64()), ("words", pa.list_(pa.string())), ("names", pa.list_(pa.string())), ("year", pa.int32())])
+_PROFILE_SQL = "id bigint, pid bigint, words array<string>, names array<string>, year int"
+_KEY = pa.schema([("key", pa.int64()), ("pid", pa.int64())])
+#: A rare word is this many times as likely to be a title's MinHash as a common one.
+RARE_WEIGHT = 8.0
 
 
 def _profiles(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -113,18 +118,43 @@ def _profiles(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 continue
             names = people(authors)
             year = year if year and 1900 <= year <= 2100 else None
-            distinct = set(words)
-            low = [min(_hash(w, s) for w in distinct) for s in range(TITLE_HASHES)]
-            surnames = {s for s, _ in names}
-            lowest = [min(_hash(n, 100 + s) for n in surnames) for s in range(SURNAME_HASHES)] if surnames else []
-            keys = {_hash(f"{j}:{n}:{k}:{m}", 7) - (1 << 63) for j, n in enumerate(lowest) for k, m in enumerate(low)}
-            loose = {_hash("".join(words), 8) - (1 << 63)} | {_hash(f"{a}:{low[a]}:{low[b]}", 9) - (1 << 63) for a, b in ((0, 1), (2, 3), (4, 1))}
             pid = _hash(repr((words, sorted(names), year)), 3) - (1 << 63)
-            rows.append((i, pid, words, [f"{s} {g}".strip() for s, g in names], year, sorted(keys), sorted(loose)))
+            rows.append((i, pid, words, [f"{s} {g}".strip() for s, g in names], year))
         if rows:
             yield pa.RecordBatch.from_arrays([pa.array(c, t.type) for c, t in zip(zip(*rows), _PROFILE)], schema=_PROFILE)
 
 
+@lru_cache(maxsize=1 << 17)
+def _draws(word: str, rare: bool, number: int) -> tuple[float, ...]:
+    """One exponential draw a hash function, at the word's weight."""
+    weight = RARE_WEIGHT if rare else 1.0
+    return tuple(-math.log((_hash(word, s) + 1) / 2.0**64) / weight for s in range(number))
+
+
+def _blocks(batches: Iterator[pa.RecordBatch], common: Broadcast, asks: int, answers: int, hashes: tuple[int, int]) -> Iterator[pa.RecordBatch]:
+    """(key, pid) of the blocks of each profile.  The title's weighted MinHashes
+    name a block together with one of the MinHashes of the authors; a profile
+    without authors asks for all of the other side, which answers on that key."""
+    known = common.value
+    for batch in batches:
+        keys, pids = [], []
+        for pid, words, names in zip(*(c.to_pylist() for c in batch.columns)):
+            drawn = [(w, _draws(w, w not in known, hashes[0])) for w in set(words)]
+            low = [min(drawn, key=lambda d: (d[1][s], d[0]))[0] for s in range(hashes[0])]
+            lowest = {min(names, key=lambda n: (_hash(n, 100 + s), n)) for s in range(hashes[1])} if names else set()
+            mine = {_hash(f"{n}|{w}", 7) for n in lowest for w in set(low)}
+            # a rare word fills no large block, so it needs no author beside it
+            rare = sorted(w for w, _ in drawn if w not in known and len(w) > 3)
+            mine |= {_hash(f"rare|{w}", 11) for w in sorted(rare, key=lambda w: _hash(w, 5))[:RARE_WORDS]}
+            loose = {"".join(words), *("|".join(sorted((low[a], low[b]))) for a, b in ((0, 1), (2, 3), (4, 1)))}
+            for side in (answers, *([] if names else [asks])):
+                mine |= {_hash(f"{side}|{x}", 9) for x in loose}
+            keys += [k - (1 << 63) for k in mine]
+            pids += [pid] * len(mine)
+        if keys:
+            yield pa.RecordBatch.from_arrays([pa.array(keys, pa.int64()), pa.array(pids, pa.int64())], schema=_KEY)
+
+
 @lru_cache(maxsize=1 << 16)
 def _alike(a: str, b: str) -> float:
     if a == b:
@@ -249,34 +279,27 @@ def matches(left: DataFrame, left_id: str, right: DataFrame, right_id: str, titl
         return settle(thin.mapInArrow(_profiles, _PROFILE_SQL))
 
     rows_l, rows_r = side(left, left_id), side(right, right_id)
-    cols = [F.first(c).alias(c) for c in ("words", "names", "year", "keys", "loose")]
-    l, r = (settle(x.groupBy("pid").agg(*cols)) for x in (rows_l, rows_r))
+    cols = [F.first(c).alias(c) for c in ("words", "names", "year")]
+    l, r = (x.groupBy("pid").agg(*cols) for x in (rows_l, rows_r))
 
     # words of more than a share of all titles: at most (words of a title) / share of them
-    n = l.count() + r.count()
-    all_words = l.select("words").unionAll(r.select("words")).select(F.explode(F.array_distinct("words")).alias("w"))
+    n = rows_l.count() + rows_r.count()
+    all_words = rows_l.select("words").unionAll(rows_r.select("words")).select(F.explode(F.array_distinct("words")).alias("w"))
     common = frozenset(x.w for x in all_words.groupBy("w").count().where(F.col("count") > max(3, int(frequent * n))).select("w").collect())
 
-    def blocks(x: DataFrame, pid: str, with_names: str, own: int, other: int) -> DataFrame:
-        named = x.select(F.explode("keys").alias("key"), F.col("pid").alias(pid))
-        # a profile without authors asks for all of the other side, so that side answers on the same key
-        none = F.size("names") == 0
-        asks = F.when(none, F.transform("loose", lambda k: F.xxhash64(k, F.lit(own)))).otherwise(F.array().cast("array<bigint>"))
-        answers = F.transform("loose", lambda k: F.xxhash64(k, F.lit(other)))
-        return named.unionAll(x.select(F.explode(F.concat(asks, answers)).alias("key"), F.col("pid").alias(pid)))
-
     # how many author lists each title goes with, over both sides
     whole = F.xxhash64(F.array_join("words", ""))
     titles = l.unionAll(r).where(F.size("names") > 0).select(whole.alias("t"), F.transform("names", lambda x: F.split(x, " ")[0]).alias("s")).groupBy("t").agg(F.count_distinct(F.array_sort("s")).alias("n"))
     l, r = (settle(x.withColumn("t", whole).join(titles, "t", "left").drop("t")) for x in (l, r))
 
-    pairs = blocks(l, "l", "names", 1, 2).join(blocks(r, "r", "names", 2, 1), "key").select("l", "r").distinct()
+    sent = spark.sparkContext.broadcast(common)
+    key_l, key_r = (x.select("pid", "words", "names").mapInArrow(partial(_blocks, common=sent, asks=a, answers=b, hashes=(TITLE_HASHES, SURNAME_HASHES)), "key bigint, pid bigint").withColumnRenamed("pid", p) for x, a, b, p in ((l, 1, 2, "l"), (r, 2, 1, "r")))
+    pairs = key_l.join(key_r, "key").select("l", "r").distinct()
     full = pairs.join(l.select(F.col("pid").alias("l"), F.col("words").alias("wa"), F.col("names").alias("na"), F.col("year").alias("ya"), F.col("n").alias("ta")), "l")
     full = full.join(r.select(F.col("pid").alias("r"), F.col("words").alias("wb"), F.col("names").alias("nb"), F.col("year").alias("yb"), F.col("n").alias("tb")), "r")
     shared = F.size(F.array_intersect("wa", "wb"))
     small = F.least(F.size(F.array_distinct("wa")), F.size(F.array_distinct("wb")))
     full = full.where(shared * 10 >= small * 4)
-    sent = spark.sparkContext.broadcast(common)
     featured = settle(full.select("l", "r", "wa", "na", "ya", "wb", "nb", "yb", "ta", "tb").mapInArrow(partial(_featured, common=sent), "l bigint, r bigint, x array<double>"))
     total = featured.count()
     chosen = featured if total <= most_pairs else featured.where(F.pmod(F.xxhash64("l", "r"), F.lit(1_000_000)) < int(1_000_000 * most_pairs / total))
