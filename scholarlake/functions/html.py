@@ -13,7 +13,7 @@ from html.parser import HTMLParser
 from urllib.parse import urljoin, urlsplit
 
 import pandas as pd
-from pyspark.sql import Column, functions as F
+from pyspark.sql import Column, functions as F, types as T
 from pyspark.sql.functions import pandas_udf
 
 #: Meta names that give the file's address (fixed values).
@@ -160,12 +160,12 @@ def pdf_link_of(page: str | None, base: str | None) -> str | None:
     return None
 
 
-@pandas_udf("string")
+@pandas_udf(T.StringType())
 def abstract(pages: pd.Series, publishers: pd.Series) -> pd.Series:
     return pd.Series([abstract_of(p, q) for p, q in zip(pages, publishers)], dtype="object")
 
 
-@pandas_udf("string")
+@pandas_udf(T.StringType())
 def pdf_link(pages: pd.Series, bases: pd.Series) -> pd.Series:
     return pd.Series([pdf_link_of(p, b) for p, b in zip(pages, bases)], dtype="object")
 

@@ -65,9 +65,10 @@ def pmcid(c: Column) -> Column:
 
 
 def safe(c: Column) -> Column:
-    """A component of a file name: other characters become one underscore."""
+    """A component of a file name: other characters become one underscore.
+    Null stays null."""
     text = F.regexp_replace(c, r"[^A-Za-z0-9._-]+", "_")
-    return F.coalesce(F.nullif(F.regexp_replace(text, r"^[._]+|[._]+$", ""), F.lit("")), F.lit("unknown"))
+    return F.when(c.isNotNull(), F.coalesce(F.nullif(F.regexp_replace(text, r"^[._]+|[._]+$", ""), F.lit("")), F.lit("unknown")))
 
 
 def paper_key(doi_: Column, arxiv_: Column, scholar: Column, corpus: Column, title: Column) -> Column:

@@ -11,7 +11,7 @@ import html
 import unicodedata
 
 import pandas as pd
-from pyspark.sql import Column, functions as F
+from pyspark.sql import Column, functions as F, types as T
 from pyspark.sql.functions import pandas_udf
 
 #: White space beyond ASCII, as a regex class body (fixed values).
@@ -72,19 +72,19 @@ def similarity_bound(a: Column, b: Column) -> Column:
     return F.when(la + lb > 0, 2.0 * F.least(la, lb) / (la + lb)).otherwise(0.0)
 
 
-@pandas_udf("double")
+@pandas_udf(T.DoubleType())
 def similarity(a: pd.Series, b: pd.Series) -> pd.Series:
     """Ratcliff-Obershelp ratio of two normalised titles; 0 where one is empty."""
     return pd.Series([1.0 if x == y and x else difflib.SequenceMatcher(None, x, y).ratio() if x and y else 0.0 for x, y in zip(a, b)], dtype="float64")
 
 
-@pandas_udf("string")
+@pandas_udf(T.StringType())
 def squash(texts: pd.Series) -> pd.Series:
     """Entities decoded, compatibility-decomposed, lower case, letters and digits only."""
     return pd.Series(["".join(c for c in unicodedata.normalize("NFKD", html.unescape(t)).lower() if c.isalnum()) if isinstance(t, str) else "" for t in texts], dtype="object")
 
 
-@pandas_udf("double")
+@pandas_udf(T.DoubleType())
 def matched_fraction(needles: pd.Series, hays: pd.Series) -> pd.Series:
     """Share of the needle found in the hay in runs of four or more characters."""
     out = []

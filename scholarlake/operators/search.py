@@ -8,7 +8,7 @@ import re
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-_TOKEN = re.compile(r'\s*(?:("(?P<phrase>[^"]*)")|(?P<op>[()|+])|(?P<not>-(?=["(\w]))|(?P<word>[^\s()|+"]+))')
+_TOKEN = re.compile(r'\s*(?:"(?P<phrase>[^"]*)"|(?P<op>[()|+])|(?P<not>-(?=["(\w]))|(?P<word>[^\s()|+"]+))')
 
 
 class _Parser:
