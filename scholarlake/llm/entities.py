@@ -105,8 +105,8 @@ def _hash(text: str, seed: int) -> int:
 _PROFILE = pa.schema([("id", pa.int64()), ("pid", pa.int64()), ("words", pa.list_(pa.string())), ("names", pa.list_(pa.string())), ("year", pa.int32())])
 _PROFILE_SQL = "id bigint, pid bigint, words array<string>, names array<string>, year int"
 _KEY = pa.schema([("key", pa.int64()), ("pid", pa.int64())])
-#: A rare word is this many times as likely to be a title's MinHash as a common one.
-RARE_WEIGHT = 8.0
+#: A word's chance to be a title's MinHash falls with this power of its share of titles.
+RARITY = 0.75
 
 
 def _profiles(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -125,30 +125,42 @@ def _profiles(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 @lru_cache(maxsize=1 << 17)
-def _draws(word: str, rare: bool, number: int) -> tuple[float, ...]:
-    """One exponential draw a hash function, at the word's weight."""
-    weight = RARE_WEIGHT if rare else 1.0
+def _draws(word: str, share: float, number: int) -> tuple[float, ...]:
+    """One exponential draw a hash function, at the weight of the word's rarity."""
+    weight = share**-RARITY
     return tuple(-math.log((_hash(word, s) + 1) / 2.0**64) / weight for s in range(number))
 
 
-def _blocks(batches: Iterator[pa.RecordBatch], common: Broadcast, asks: int, answers: int, hashes: tuple[int, int]) -> Iterator[pa.RecordBatch]:
-    """(key, pid) of the blocks of each profile.  The title's weighted MinHashes
-    name a block together with one of the MinHashes of the authors; a profile
-    without authors asks for all of the other side, which answers on that key."""
+def _rare(words: list[str], known: dict[str, float]) -> list[str]:
+    return sorted({w for w in words if w not in known and len(w) > 3})
+
+
+def _marked(batches: Iterator[pa.RecordBatch], common: Broadcast) -> Iterator[pa.RecordBatch]:
+    """Profiles with the rare words of their titles."""
     known = common.value
+    for batch in batches:
+        rare = pa.array([_rare(w, known) for w in batch.column(1).to_pylist()], pa.list_(pa.string()))
+        yield pa.RecordBatch.from_arrays([*batch.columns, rare], names=[*batch.schema.names, "rare"])
+
+
+def _blocks(batches: Iterator[pa.RecordBatch], common: Broadcast, hashes: tuple[int, int]) -> Iterator[pa.RecordBatch]:
+    """(key, pid) of the blocks of each profile: one of the MinHashes of the
+    authors with one of the title's weighted MinHashes; rare words by
+    themselves, as they fill no large block; and a title without rare words that
+    goes with one author list at most, so that it can stand for a work alone."""
+    known = common.value
+    rarest = min(known.values(), default=1.0)
     for batch in batches:
         keys, pids = [], []
-        for pid, words, names in zip(*(c.to_pylist() for c in batch.columns)):
-            drawn = [(w, _draws(w, w not in known, hashes[0])) for w in set(words)]
+        for pid, words, names, lists, rare in zip(*(c.to_pylist() for c in batch.columns)):
+            drawn = [(w, _draws(w, known.get(w, rarest), hashes[0])) for w in set(words)]
             low = [min(drawn, key=lambda d: (d[1][s], d[0]))[0] for s in range(hashes[0])]
+            two = {"|".join(sorted((low[i], low[(i + 1) % len(low)]))) for i in range(len(low))}
             lowest = {min(names, key=lambda n: (_hash(n, 100 + s), n)) for s in range(hashes[1])} if names else set()
-            mine = {_hash(f"{n}|{w}", 7) for n in lowest for w in set(low)}
-            # a rare word fills no large block, so it needs no author beside it
-            rare = sorted(w for w, _ in drawn if w not in known and len(w) > 3)
+            mine = {_hash(f"{n}|{t}", 7) for n in lowest for t in set(low)}
             mine |= {_hash(f"rare|{w}", 11) for w in sorted(rare, key=lambda w: _hash(w, 5))[:RARE_WORDS]}
-            loose = {"".join(words), *("|".join(sorted((low[a], low[b]))) for a, b in ((0, 1), (2, 3), (4, 1)))}
-            for side in (answers, *([] if names else [asks])):
-                mine |= {_hash(f"{side}|{x}", 9) for x in loose}
+            if not rare and (lists or 0) <= 1:
+                mine |= {_hash(f"alone|{t}", 9) for t in ("".join(words), *two)}
             keys += [k - (1 << 63) for k in mine]
             pids += [pid] * len(mine)
         if keys:
@@ -184,7 +196,7 @@ def features(wa: list[str], na: list[str], ya: int | None, wb: list[str], nb: li
         only_a, only_b = only_a - {w}, only_b - {x, y}
     for w, x, y in [(w, x, y) for w in only_b for x in only_a for y in only_a if x + y == w]:
         only_b, only_a = only_b - {w}, only_a - {x, y}
-    squashed = difflib.SequenceMatcher(None, "".join(sorted(wa)), "".join(sorted(wb)), autojunk=False).ratio() if only_a or only_b else 1.0
+    squashed = difflib.SequenceMatcher(None, "".join(sorted(wa)), "".join(sorted(wb)), autojunk=False).ratio() if (only_a or only_b) and len(only_a) + len(only_b) < len(sa | sb) else float(not (only_a or only_b))
     union = len(sa | sb) or 1
     weight_a = sum(2.0 if w in rare_a else 1.0 for w in only_a)
     weight_b = sum(2.0 if w in rare_b else 1.0 for w in only_b)
@@ -215,10 +227,9 @@ def features(wa: list[str], na: list[str], ya: int | None, wb: list[str], nb: li
 _PAIR = pa.schema([("l", pa.int64()), ("r", pa.int64()), ("x", pa.list_(pa.float64()))])
 
 
-def _featured(batches: Iterator[pa.RecordBatch], common: Broadcast) -> Iterator[pa.RecordBatch]:
-    known = common.value
+def _featured(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        rows = [(a, b, features(wa, na, ya, wb, nb, yb, set(wa) - known, set(wb) - known, (ta or 0) <= 1 and (tb or 0) <= 1)) for a, b, wa, na, ya, wb, nb, yb, ta, tb in zip(*(c.to_pylist() for c in batch.columns))]
+        rows = [(a, b, features(wa, na, ya, wb, nb, yb, set(ra), set(rb), (ta or 0) <= 1 and (tb or 0) <= 1)) for a, b, wa, na, ya, wb, nb, yb, ta, tb, ra, rb in zip(*(c.to_pylist() for c in batch.columns))]
         if rows:
             yield pa.RecordBatch.from_arrays([pa.array(c, t.type) for c, t in zip(zip(*rows), _PAIR)], schema=_PAIR)
 
@@ -285,22 +296,28 @@ def matches(left: DataFrame, left_id: str, right: DataFrame, right_id: str, titl
     # words of more than a share of all titles: at most (words of a title) / share of them
     n = rows_l.count() + rows_r.count()
     all_words = rows_l.select("words").unionAll(rows_r.select("words")).select(F.explode(F.array_distinct("words")).alias("w"))
-    common = frozenset(x.w for x in all_words.groupBy("w").count().where(F.col("count") > max(3, int(frequent * n))).select("w").collect())
+    common = {x.w: x["count"] / n for x in all_words.groupBy("w").count().where(F.col("count") > max(3, int(frequent * n))).collect()}
 
     # how many author lists each title goes with, over both sides
     whole = F.xxhash64(F.array_join("words", ""))
     titles = l.unionAll(r).where(F.size("names") > 0).select(whole.alias("t"), F.transform("names", lambda x: F.split(x, " ")[0]).alias("s")).groupBy("t").agg(F.count_distinct(F.array_sort("s")).alias("n"))
-    l, r = (settle(x.withColumn("t", whole).join(titles, "t", "left").drop("t")) for x in (l, r))
-
     sent = spark.sparkContext.broadcast(common)
-    key_l, key_r = (x.select("pid", "words", "names").mapInArrow(partial(_blocks, common=sent, asks=a, answers=b, hashes=(TITLE_HASHES, SURNAME_HASHES)), "key bigint, pid bigint").withColumnRenamed("pid", p) for x, a, b, p in ((l, 1, 2, "l"), (r, 2, 1, "r")))
+    schema = "pid bigint, words array<string>, names array<string>, year int, n bigint, rare array<string>"
+    l, r = (settle(x.withColumn("t", whole).join(titles, "t", "left").select("pid", "words", "names", "year", "n").mapInArrow(partial(_marked, common=sent), schema)) for x in (l, r))
+
+    key_l, key_r = (x.select("pid", "words", "names", "n", "rare").mapInArrow(partial(_blocks, common=sent, hashes=(TITLE_HASHES, SURNAME_HASHES)), "key bigint, pid bigint").withColumnRenamed("pid", p) for x, p in ((l, "l"), (r, "r")))
     pairs = key_l.join(key_r, "key").select("l", "r").distinct()
-    full = pairs.join(l.select(F.col("pid").alias("l"), F.col("words").alias("wa"), F.col("names").alias("na"), F.col("year").alias("ya"), F.col("n").alias("ta")), "l")
-    full = full.join(r.select(F.col("pid").alias("r"), F.col("words").alias("wb"), F.col("names").alias("nb"), F.col("year").alias("yb"), F.col("n").alias("tb")), "r")
-    shared = F.size(F.array_intersect("wa", "wb"))
-    small = F.least(F.size(F.array_distinct("wa")), F.size(F.array_distinct("wb")))
-    full = full.where(shared * 10 >= small * 4)
-    featured = settle(full.select("l", "r", "wa", "na", "ya", "wb", "nb", "yb", "ta", "tb").mapInArrow(partial(_featured, common=sent), "l bigint, r bigint, x array<double>"))
+    renamed = lambda x, p, q: x.select(F.col("pid").alias(p), *[F.col(c).alias(f"{c}_{q}") for c in ("words", "names", "year", "n", "rare")])
+    full = pairs.join(renamed(l, "l", "a"), "l").join(renamed(r, "r", "b"), "r")
+    # pairs that no feature could save are left out natively, before Python sees them
+    shared = F.size(F.array_intersect("words_a", "words_b"))
+    small = F.least(F.size(F.array_distinct("words_a")), F.size(F.array_distinct("words_b")))
+    start = lambda c: F.transform(c, lambda n: F.substring(n, 1, 3))
+    both_named = (F.size("names_a") > 0) & (F.size("names_b") > 0)
+    telling = F.arrays_overlap("rare_a", "rare_b")
+    single = (F.coalesce("n_a", F.lit(0)) <= 1) & (F.coalesce("n_b", F.lit(0)) <= 1) & F.coalesce(F.abs(F.col("year_a") - F.col("year_b")) <= 1, F.lit(False))
+    full = full.where((shared * 2 >= small) & F.when(both_named, F.arrays_overlap(start("names_a"), start("names_b"))).otherwise(telling | single))
+    featured = settle(full.select("l", "r", "words_a", "names_a", "year_a", "words_b", "names_b", "year_b", "n_a", "n_b", "rare_a", "rare_b").mapInArrow(_featured, "l bigint, r bigint, x array<double>"))
     total = featured.count()
     chosen = featured if total <= most_pairs else featured.where(F.pmod(F.xxhash64("l", "r"), F.lit(1_000_000)) < int(1_000_000 * most_pairs / total))
     model = fit([list(x.x) for x in chosen.orderBy(F.xxhash64("l", "r")).limit(most_pairs).select("x").collect()])
