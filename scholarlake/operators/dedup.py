@@ -14,9 +14,6 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from scholarlake.functions.text import blank_to_null, dedup_title
 
-#: A place that orders rows totally; compared field by field.
-PLACE = F.struct("cat_pos", "pos")
-
 
 def _first_of(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
     """The first row of each key by ``order``, by aggregation: the partial
