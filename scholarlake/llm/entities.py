@@ -81,8 +81,9 @@ def person(name: str) -> tuple[str, str] | None:
         words = [p for p in parts if p not in _PARTICLES] or parts
         surname, given = "".join(words), fold(first).replace(".", " ").split()
     else:
-        while len(parts) > 1 and len(parts[-1]) == 1:  # "Velekra E"
-            parts.insert(0, parts.pop())
+        if any(len(p) > 1 for p in parts):
+            while len(parts[-1]) == 1:  # "Velekra E"
+                parts.insert(0, parts.pop())
         surname, given = (parts[-1] if parts else ""), parts[:-1]
         given = [g for g in given if g not in _PARTICLES]
     surname = re.sub(r"\W", "", surname)
@@ -154,7 +155,9 @@ def _blocks(batches: Iterator[pa.RecordBatch], common: Broadcast, hashes: tuple[
         keys, pids = [], []
         for pid, words, names, lists, rare in zip(*(c.to_pylist() for c in batch.columns)):
             drawn = [(w, _draws(w, known.get(w, rarest), hashes[0])) for w in set(words)]
-            low = [min(drawn, key=lambda d: (d[1][s], d[0]))[0] for s in range(hashes[0])]
+            # half of the hash functions leave rare words out: those may be misspelt
+            plain = [d for d in drawn if d[0] in known] or drawn
+            low = [min(drawn if s % 2 else plain, key=lambda d: (d[1][s], d[0]))[0] for s in range(hashes[0])]
             two = {"|".join(sorted((low[i], low[(i + 1) % len(low)]))) for i in range(len(low))}
             lowest = {min(names, key=lambda n: (_hash(n, 100 + s), n)) for s in range(hashes[1])} if names else set()
             mine = {_hash(f"{n}|{t}", 7) for n in lowest for t in set(low)}
