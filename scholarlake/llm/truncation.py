@@ -135,12 +135,16 @@ def judge_end(text: str) -> tuple[str, str, list[str], list[str]]:
     bare = text.strip()
     if not bare or bare.lower().strip(" .()[]") in PLACEHOLDERS or sum(c.isalpha() for c in bare) < 4:
         return "complete", "", [], []
-    stripped = _TAGS.sub(" ", bare).rstrip()
-    if _OMISSION.search(stripped):
+    stripped = (_TAGS.sub(" ", bare) if "<" in bare else bare).rstrip()
+    # the patterns of an end reach back 202 characters at most
+    end = stripped[-300:]
+    if _OMISSION.search(end):
         return "cut", "", [], []
-    if m := _HALF.search(stripped):
+    if m := _HALF.search(end):
         if not (m.group()[0] == "<" and re.search(r"<\s*\d|<\s", m.group())):
             return "cut", "", [], []
+    if stripped[-1:] in (".", "?", "!", "。") and not stripped[-2:-1].isdigit():
+        return "complete", "", [], []
     seen = clean(bare)
     if not seen or len(seen) < 12:
         return "complete", "", [], []
