@@ -129,8 +129,8 @@ def _search(s, d):
 
 def _fuzzy(s, d):
     h, r = _t(s, d, "arxiv_hits"), _t(s, d, "paper_records").where("title is not null")
-    first = lambda c: F.split(text.match_title(F.col(c)), " ")
-    return joins.similar_titles(h, "hit_id", "title", r, "record_id", "title", [F.coalesce("year", F.lit(0)), F.get(first("title"), 0)], [F.coalesce("year", F.lit(0)), F.get(first("title"), 0)])
+    year = [F.coalesce("year", F.lit(0))]
+    return joins.similar_titles(h, "hit_id", "title", r, "record_id", "title", year, year)
 
 
 def _enriched(s, d):
