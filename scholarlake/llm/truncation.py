@@ -6,7 +6,8 @@ first letters; a value whose last token is no known word but a proper prefix of
 known words was cut inside a word.  A cut between two words leaves a known last
 token, so length evidence joins in: how long sentences that open alike are
 everywhere else, how often the last two tokens end a sentence elsewhere, and
-whether the value has exactly a length at which its source's values pile up.
+whether the value has exactly a length at which its source's values pile up
+(or, as a further sign, those of all sources together).
 Signs of omission and half tags or entities at the end show a cut by themselves.
 
 Everything is counted over all values.  Counts are combined per partition before
@@ -176,18 +177,18 @@ def judge_end(text: str) -> tuple[str, str, list[str], list[str]]:
 
 
 def _ends(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    schema = pa.schema([("id", pa.int64()), ("source", pa.string()), ("n_chars", pa.int32()), ("state", pa.string()), ("token", pa.string()), ("pair", pa.int64()), ("opening", pa.int64()), ("length", pa.int32())])
+    schema = pa.schema([("id", pa.int64()), ("source", pa.string()), ("n_chars", pa.int32()), ("state", pa.string()), ("token", pa.string()), ("pair", pa.int64()), ("opening", pa.int64()), ("length", pa.int32()), ("value", pa.int64())])
     for batch in batches:
         rows = []
         for i, source, text in zip(*(c.to_pylist() for c in batch.columns)):
             state, token, pair, sentence = judge_end(text)
             opening = _opening(sentence)
-            rows.append((i, source, len(text), state, token if state != "complete" and token.isalpha() else None, _key("b", *pair) if len(pair) == 2 else None, _key("l", *opening) if opening else None, min(len(sentence), LONGEST)))
+            rows.append((i, source, len(text), state, token if state != "complete" and token.isalpha() else None, _key("b", *pair) if len(pair) == 2 else None, _key("l", *opening) if opening else None, min(len(sentence), LONGEST), _key("v", text)))
         if rows:
             yield pa.RecordBatch.from_arrays([pa.array(c, t.type) for c, t in zip(zip(*rows), schema)], schema=schema)
 
 
-_ENDS_SQL = "id bigint, source string, n_chars int, state string, token string, pair bigint, opening bigint, length int"
+_ENDS_SQL = "id bigint, source string, n_chars int, state string, token string, pair bigint, opening bigint, length int, value bigint"
 
 
 class Trie:
@@ -231,6 +232,15 @@ def _first(c: Column) -> Column:
     return F.substring(c, 1, 3)
 
 
+def _limits(by_length: DataFrame) -> DataFrame:
+    """The lengths (source, n_chars, n) at which a source's values pile up: five
+    or more, and over four times as many as at the neighbours on average."""
+    near = by_length.select(F.col("source").alias("s"), F.explode(F.array(*[F.col("n_chars") + d for d in (-3, -2, -1, 1, 2, 3)])).alias("c"), F.col("n").alias("m"))
+    near = near.groupBy("s", "c").agg((F.sum("m") / 6).alias("around"))
+    joined = by_length.join(near, F.col("source").eqNullSafe(F.col("s")) & (F.col("n_chars") == F.col("c")), "left")
+    return joined.where("n >= 5 and n > 4 * coalesce(around, 0)").select("source", "n_chars")
+
+
 def truncated(df: DataFrame, id_column: str, text_column: str, source_column: str, least_support: int = 20, end_share: float = 0.05, end_share_at_limit: float = 0.3, shortest_share: float = 0.02) -> DataFrame:
     """One row per value that lacks its end: the id, the source and ``evidence``
     (sign, word, ending, length).  ``end_share``: a last pair of tokens that ends
@@ -240,10 +250,11 @@ def truncated(df: DataFrame, id_column: str, text_column: str, source_column: st
     text = F.col(f"`{text_column}`")
     thin = df.where(text.isNotNull()).select(F.col(f"`{id_column}`").cast("bigint").alias("id"), F.col(f"`{source_column}`").cast("string").alias("source"), text.cast("string").alias("text"))
     ends = settle(thin.mapInArrow(_ends, _ENDS_SQL).where("state <> 'complete'"))
-    # lengths at which unfinished values pile up against their neighbours
-    by_length = ends.where("state <> 'number'").groupBy("n_chars").agg(F.count("*").alias("n"))
-    near = by_length.select(F.explode(F.array(*[F.col("n_chars") + d for d in (-3, -2, -1, 1, 2, 3)])).alias("n_chars"), "n").groupBy("n_chars").agg((F.sum("n") / 6).alias("around"))
-    limits = by_length.join(near, "n_chars", "left").where("n >= 5 and n > 4 * coalesce(around, 0)").select("n_chars", F.lit(True).alias("at_limit"))
+    # lengths at which unfinished values pile up against their neighbours, in a
+    # source (a text fetched again is no further value there) and over all sources
+    unended = ends.where("state <> 'number'")
+    of_source = _limits(unended.groupBy("source", "n_chars").agg(F.count_distinct("value").alias("n"))).select(F.col("source").alias("s"), F.col("n_chars").alias("c"), F.lit(True).alias("own_limit"))
+    of_all = _limits(unended.groupBy(F.lit("").alias("source"), "n_chars").agg(F.count("*").alias("n"))).select("n_chars", F.lit(True).alias("shared_limit"))
     counts = thin.select("text").mapInArrow(_count, _COUNTS)
     counts = settle(counts.groupBy("kind", "key", "word", "length").agg(F.sum("n").alias("n"), F.sum("n_end").alias("n_end")))
     open_ = ends.where("state <> 'cut'")
@@ -257,8 +268,9 @@ def truncated(df: DataFrame, id_column: str, text_column: str, source_column: st
     lengths = counts.where("kind = 'l'").join(open_.select(F.col("opening").alias("key")).distinct(), "key", "left_semi")
     lengths = lengths.groupBy(F.col("key").alias("opening")).agg(F.sum("n").alias("n_opening"), F.collect_list(F.struct(F.col("length").alias("l"), "n")).alias("by_length"))
 
-    judged = open_.join(trie, "token", "left").join(pairs, "pair", "left").join(lengths, "opening", "left").join(limits, "n_chars", "left")
-    at_limit = F.coalesce("at_limit", F.lit(False))
+    judged = open_.join(trie, "token", "left").join(pairs, "pair", "left").join(lengths, "opening", "left").join(of_all, "n_chars", "left")
+    judged = judged.join(of_source, F.col("source").eqNullSafe(F.col("s")) & (F.col("n_chars") == F.col("c")), "left")
+    at_limit = F.coalesce("own_limit", "shared_limit", F.lit(False))
     pair_end = F.when(F.col("n_pair") >= least_support, F.col("n_end") / F.col("n_pair")).when(F.col("n_token") >= least_support, F.col("n_token_end") / F.col("n_token"))
     shorter = F.when(F.col("n_opening") >= least_support, F.aggregate(F.filter("by_length", lambda x: x.l <= F.col("length")), F.lit(0).cast("bigint"), lambda a, x: a + x.n) / F.col("n_opening"))
     # a word seen a few times, and never as the last of a sentence, may be a fragment itself
