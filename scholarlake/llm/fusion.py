@@ -32,7 +32,7 @@ from functools import partial
 
 import pyarrow as pa
 from pyspark import Broadcast
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from scholarlake.llm.common import settle
 
@@ -40,6 +40,8 @@ MOST_SOURCES = 5000
 ROUNDS = 2
 COPY_PRIOR, COPY_SHARE, WRONG_VALUES = 0.05, 0.8, 50.0
 FIELDS = ("title", "abstract", "year", "venue", "publicationDate", "citationCount", "url")
+#: Fields that come out in the type of their column; where a table lacks one, so does the result.
+TYPED = ("isOpenAccess", "publicationTypes", "authors", "externalIds", "openAccessPdf", "publicationVenue")
 
 
 class Model:
@@ -208,17 +210,60 @@ def survivors(log: DataFrame) -> DataFrame:
     return papers.groupBy(*_KEY).agg(best).select(*_KEY, F.col("b.paper").alias("survivor_id"), F.col("b.value").cast("int").alias("citations"), F.col("b.probability").alias("probability"))
 
 
+def _text(c: Column, kind: T.DataType) -> Column:
+    """The value of a claim; null for a blank or an empty list."""
+    if isinstance(kind, T.ArrayType):
+        return F.when(F.size(c) > 0, F.to_json(c))
+    if isinstance(kind, (T.StructType, T.MapType)):
+        return F.nullif(F.to_json(c), F.lit("{}"))
+    return F.nullif(F.trim(c.cast("string")), F.lit(""))
+
+
+def _typed(c: Column, kind: T.DataType) -> Column:
+    nested = isinstance(kind, (T.ArrayType, T.StructType, T.MapType))
+    return F.from_json(c, kind.simpleString()) if nested else c.cast(kind)
+
+
+def _claims(field: str, kind: T.DataType) -> Column:
+    """(field, key, value) of one field; a map and a struct give a claim a key."""
+    c = F.col(field)
+    claim = lambda k, v: F.struct(F.lit(field).alias("field"), k.cast("string").alias("key"), v.alias("value"))
+    if isinstance(kind, T.MapType):
+        given = F.transform(F.map_entries(c), lambda e: claim(e["key"], _text(e["value"], kind.valueType)))
+        return F.coalesce(given, F.array().cast("array<struct<field:string,key:string,value:string>>"))
+    if isinstance(kind, T.StructType):
+        return F.array(*[claim(F.lit(m.name), _text(c[m.name], m.dataType)) for m in kind])
+    return F.array(claim(F.lit(None), _text(c, kind)))
+
+
+def _rebuilt(field: str, kind: T.DataType) -> Column:
+    """The field out of its fused values, as an aggregate; null where nobody gave one."""
+    mine = F.col("field") == field
+    if isinstance(kind, T.MapType):
+        pairs = F.array_sort(F.collect_list(F.when(mine, F.struct("key", "value"))))
+        entries = F.transform(pairs, lambda e: F.struct(e["key"].cast(kind.keyType).alias("key"), _typed(e["value"], kind.valueType).alias("value")))
+        return F.when(F.size(pairs) > 0, F.map_from_entries(entries))
+    if isinstance(kind, T.StructType):
+        members = {m: F.max(F.when(mine & (F.col("key") == m.name), F.col("value"))) for m in kind}
+        return F.when(F.coalesce(*members.values()).isNotNull(), F.struct(*[_typed(v, m.dataType).alias(m.name) for m, v in members.items()]))
+    value = F.max(F.when(mine, F.col("value")))
+    return value if field in FIELDS else _typed(value, kind)
+
+
 def completed(log: DataFrame, papers: DataFrame) -> DataFrame:
-    """The surviving record of each group, its fields fused one by one."""
+    """The surviving record of each group, its fields fused one by one, maps and
+    structs key by key.  ``cat``, ``cat_pos``, ``pos`` and ``fetched_at`` say where
+    and when a row was found and are no fields of the record."""
+    kinds = {f: papers.schema[f].dataType for f in (*FIELDS, *TYPED) if f in FIELDS or f in papers.columns}
     best = settle(survivors(log))
     members = _members(log).select(*_KEY, "paper").distinct().join(best.select(*_KEY, "survivor_id"), list(_KEY))
-    rows = papers.select(paper_id("paperId").alias("paper"), F.col("cat").alias("source"), *[F.col(f).cast("string").alias(f) for f in FIELDS]).where("paper is not null")
+    rows = papers.select(paper_id("paperId").alias("paper"), F.col("cat").alias("source"), F.concat(*[_claims(f, k) for f, k in kinds.items()]).alias("given")).where("paper is not null")
+    rows = rows.withColumn("given", F.filter("given", lambda x: x["value"].isNotNull()))
     given = members.join(rows, "paper").withColumn("own", (F.col("paper") == F.col("survivor_id")).cast("int"))
-    each = F.explode(F.array(*[F.struct(F.lit(f).alias("field"), F.when(F.trim(F.col(f)) != "", F.trim(F.col(f))).alias("value")) for f in FIELDS])).alias("f")
-    claims = given.select(*_KEY, "source", "own", each).select(*_KEY, "source", "own", "f.field", "f.value").where("value is not null")
-    claims = settle(claims.withColumn("item", _item(*_KEY, "field")))
+    claims = given.select(*_KEY, "source", "own", F.explode("given").alias("f")).select(*_KEY, "source", "own", "f.field", "f.key", "f.value")
+    claims = settle(claims.withColumn("item", _item(*_KEY, "field", "key")))
     fused = fuse(claims.select("item", F.coalesce("source", F.lit("")).alias("source"), "value", "own"), order="own")
-    named = claims.select("item", *_KEY, "field").distinct().join(fused, "item")
-    wide = named.groupBy(*_KEY).pivot("field", list(FIELDS)).agg(F.first("value"))
+    named = claims.select("item", *_KEY, "field", "key").distinct().join(fused, "item")
+    wide = named.groupBy(*_KEY).agg(*[_rebuilt(f, k).alias(f) for f, k in kinds.items()])
     out = best.withColumnRenamed("citations", "latest_citations").join(wide, list(_KEY), "left")
-    return out.withColumn("n_fields", sum((F.col(f).isNotNull().cast("int") for f in FIELDS), F.lit(0)))
+    return out.withColumn("n_fields", sum((F.col(f).isNotNull().cast("int") for f in kinds), F.lit(0)))
