@@ -13,34 +13,44 @@ BROADCAST_BYTES = 64 << 20
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder all executors share, named by ``spark.checkpoint.dir``; a
-    temporary one only where that is unset, as in tests on one machine."""
+    """The folder all executors share, named by ``spark.checkpoint.dir``.  Where
+    that is unset, a temporary folder serves a session on one machine, as in
+    tests; on a cluster that is an error, for executors would each write to a
+    disk of their own."""
     folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not folder:
-        folder = "file://" + tempfile.mkdtemp(prefix="scholarlake-")
-        spark.conf.set("scholarlake.folder", folder) if spark.conf.get("scholarlake.folder", None) is None else None
-        folder = spark.conf.get("scholarlake.folder")
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
+        folder = spark.conf.get("scholarlake.folder", None)
+        if folder is None:
+            folder = "file://" + tempfile.mkdtemp(prefix="scholarlake-")
+            spark.conf.set("scholarlake.folder", folder)
     return folder.rstrip("/")
 
 
-def settle(df: DataFrame) -> DataFrame:
+def _delete(spark: SparkSession, path: str) -> None:
+    try:
+        place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+        place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(place, True)
+    except Exception:  # the session is gone: so is what it could reach
+        pass
+
+
+def settle(df: DataFrame, *used: DataFrame) -> DataFrame:
     """The rows written as a table in the shared folder and read back: lineage is
     cut, the rows outlive any executor, and each use reads instead of computing
-    again.  The table goes when the driver's process ends."""
+    again.  Settled tables in ``used`` are deleted, as nothing reads them any more;
+    the others go when the driver's process ends."""
     spark = df.sparkSession
     path = f"{shared_folder(spark)}/settled-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
-
-    def drop() -> None:
-        try:
-            place = jvm.org.apache.hadoop.fs.Path(path)
-            place.getFileSystem(conf).delete(place, True)
-        except Exception:  # the session is gone: so is what it could reach
-            pass
-
-    atexit.register(drop)
-    return spark.read.schema(df.schema).parquet(path)
+    for old in used:
+        if (place := getattr(old, "_settled", None)) is not None:
+            _delete(spark, place)
+    atexit.register(_delete, spark, path)
+    read = spark.read.schema(df.schema).parquet(path)
+    read._settled = path
+    return read
 
 
 def fits(df: DataFrame, most: int = BROADCAST_BYTES) -> bool:

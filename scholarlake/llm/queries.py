@@ -77,9 +77,11 @@ def p7_items(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _leaks(spark, sf_dir).groupBy("item").agg(F.count("*").alias("documents"), F.max("share").alias("largest_share"))
 
 
-def p8_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+def p8_scores(spark: SparkSession, sf_dir: str, tokenizer: str = TOKENIZER) -> DataFrame:
     documents, labels = _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "content_labels")
-    return abuse.scores(documents, "doc_id", "text", "source", labels, "text", "label").withColumnRenamed("doc", "doc_id")
+    usual = abuse.vocabulary_words(tokenizer)
+    scores = abuse.scores(documents, "doc_id", "text", "source", labels, "text", "label", vocabulary=usual)
+    return scores.withColumnRenamed("doc", "doc_id")
 
 
 def p8_found(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -1,10 +1,10 @@
-"""Garbled text, cut text, BPE, leaks and abuse, on small fixtures."""
+"""Garbled text, cut text, BPE and leaks, on small fixtures."""
 
 import random
 
 import pytest
 
-from scholarlake.llm import abuse, bpe, leaks, mojibake, truncation
+from scholarlake.llm import bpe, leaks, mojibake, truncation
 
 CLASHING = "id bigint, text string, title string, abstract string, source string, doc string, field string, key string"
 
@@ -115,32 +115,3 @@ def test_items_in_blocks_give_the_same(spark, monkeypatch):
     one = sorted((r.doc, r.item, r.share) for r in leaks.leaks(docs, "id", "text", items, "id", "text").collect())
     monkeypatch.setattr(leaks, "BLOCK_CHARS", 200)
     assert sorted((r.doc, r.item, r.share) for r in leaks.leaks(docs, "id", "text", items, "id", "text").collect()) == one
-
-
-@pytest.mark.parametrize("form", ["moron", "m0r0n", "m*r*n", "m o r o n", "m.o.r.o.n", "mоrоn", "MORON", "mo​ron", "moooron"])
-def test_masked_terms(form):
-    assert "moron" in {abuse.look(t)[0] for t in abuse.tokens(abuse._ZERO.sub("", form))}
-
-
-def test_levenshtein_against_brute_force():
-    def distance(a, b):
-        row = list(range(len(b) + 1))
-        for i, x in enumerate(a, 1):
-            new = [i]
-            for j, y in enumerate(b, 1):
-                new.append(min(new[-1] + 1, row[j] + 1, row[j - 1] + (x != y)))
-            row = new
-        return row[-1]
-
-    lex = abuse.lexicon()
-    for word in ("moorn", "idoit", "parasit", "batch", "worthles"):
-        assert lex.near(word, 1) == sorted((distance(word, t), t) for t in lex.kinds if distance(word, t) <= 1)
-
-
-def test_abuse_scores(spark):
-    labels = spark.createDataFrame([(i, t, l) for i, (t, l) in enumerate([("You are a filthy moron.", "abusive"), ("All of them are vermin and should be driven out.", "hateful"), ("The study measured yield.", "clean"), ("The scheduler kills the process.", "clean"), ("A broken label.", None), (None, "clean")] * 4)], "id int, text string, label string")
-    rows = [(1, "We measured things. You are a filthy m*ron and a clown.", "a"), (2, "The scheduler kills the process when a worker hangs.", "a"), (3, None, "b"), (4, "", None), (5, "Sober prose. " * 20_000, "b"), (6, "Annotators rated abusive language in the survey.", "b")]
-    got = {r.doc: r.score for r in abuse.scores(_frame(spark, rows), "id", "text", "source", labels, "text", "label").collect()}
-    assert got[1] >= 0.5 and all(got[i] < 0.5 for i in (2, 3, 4, 5, 6)) and got[3] == got[4] == 0
-    assert abuse.scores(_frame(spark, []), "id", "text", "source", labels, "text", "label").count() == 0
-    assert abuse.scores(_frame(spark, rows), "id", "text", "source", labels.limit(0), "text", "label").count() == len(rows)
