@@ -282,11 +282,24 @@ def lexicon() -> Lexicon:
     return Lexicon()
 
 
+_NARROW = re.compile(r"[\w@$*]+")
+_WIDE = re.compile("[⺀-힯]")
+
+
 @lru_cache(maxsize=1)
-def _token() -> re.Pattern:
+def _wide_token() -> re.Pattern:
     """Terms of scripts without blanks first, then their single signs, then words."""
     wide = sorted((t for t in lexicon().kinds if ord(t[0]) >= 0x2E80), key=len, reverse=True)
-    return re.compile("(?=[⺀-힯])(?:" + "|".join([*wide, "."]) + r")|(?:[^\W_]|[@$*])+")
+    return re.compile("(?=[⺀-힯])(?:" + "|".join([*wide, "."]) + r")|(?:[^\W⺀-힯]|[@$*])+")
+
+
+def token(text: str) -> re.Pattern:
+    """The pattern of the tokens of a cleaned text."""
+    return _NARROW if text.isascii() or not _WIDE.search(text) else _wide_token()
+
+
+def tokens(text: str) -> list[str]:
+    return token(text).findall(text)
 
 
 #: word, kind or '', masked, misspelt
@@ -338,7 +351,8 @@ def clean(text: str) -> str:
         text = html.unescape(text)
     if "-\n" in text:
         text = _BREAK.sub("", text)
-    return _SPACED.sub(_join, text)
+    text = _SPACED.sub(_join, text)
+    return text.replace("_", " ") if "_" in text else text
 
 
 def sentences(text: str) -> Iterator[str]:
@@ -369,7 +383,7 @@ class Words:
 
 def windows(sentence: str, words: Words, whole: bool = False) -> Iterator[list[str]]:
     """The features of the window round each hit; ``whole`` unites them."""
-    spans = list(_token().finditer(sentence))
+    spans = list(token(sentence).finditer(sentence))
     made = [words(m.group()) for m in spans]
     hits = [i for i, m in enumerate(made) if m[3]]
     if not hits:
@@ -432,7 +446,6 @@ class Model:
     def __init__(self, weights: dict[str, float], ordinary: frozenset[str]) -> None:
         self.weights, self.bias = weights, weights[""]
         self.words = Words(ordinary, frozenset(n[2:] for n in weights if n[:2] == "w:"))
-        self.token = _token()
 
     def sentence(self, sentence: str) -> tuple[float, set[str]]:
         """The highest score of its windows, and the kinds of those of 0.5 or more."""
@@ -452,7 +465,7 @@ class Model:
         text = clean(text)
         best, kinds, worst = _sigmoid(self.bias), set(), None
         words = self.words
-        if not any(words(raw)[3] for raw in set(self.token.findall(text))):
+        if not any(words(raw)[3] for raw in set(tokens(text))):
             return best, [], None
         for s in sentences(text):
             p, k = self.sentence(s)
@@ -469,7 +482,7 @@ def taught(rated: list[tuple[str, float, float]], words: Words, held: dict[str,
     bad_texts = max(1, sum(p >= 0.5 for _, p, _ in rated))
     bad, every = Counter(), Counter()
     for text, p, _ in rated:
-        for w in {words(m)[0] for m in _token().findall(clean(text)) if not words(m)[1]}:
+        for w in {words(m)[0] for m in tokens(clean(text)) if not words(m)[1]}:
             every[w] += 1
             bad[w] += p >= 0.5
     out = {}
@@ -530,14 +543,14 @@ _COUNTS = pa.schema([("what", pa.string()), ("word", pa.string()), ("term", pa.s
 def _count(batches: Iterator[pa.RecordBatch], sent: Broadcast) -> Iterator[pa.RecordBatch]:
     """In how many texts stand each near form of a term, each term and each rated
     word; and how many texts there are."""
-    rated, token = sent.value, _token()
+    rated = sent.value
     known: dict[str, tuple] = {}
     counts: Counter = Counter()
     for batch in batches:
         for text in batch.column(0).to_pylist():
             counts["text", None, None] += 1
             found = set()
-            for raw in set(token.findall(clean(text))):
+            for raw in set(tokens(clean(text))):
                 what = known.get(raw, 0)
                 if what == 0:
                     word, kind, _, slip = look(raw)
@@ -604,7 +617,7 @@ def scores(documents: DataFrame, doc_id: str, text: str, source: str, labels: Da
     col = F.col(f"`{text}`").cast("string")
     usual = frozenset(w for w in vocabulary if look(w)[3])
     rated = labelled(labels, label_text, label, most_labels)
-    rated_words = frozenset(look(m)[0] for t, _, _ in rated for m in _token().findall(clean(t)))
+    rated_words = frozenset(look(m)[0] for t, _, _ in rated for m in tokens(clean(t)))
     ordinary, held, number = corpus_counts(documents.where(F.col(f"`{text}`").isNotNull()).select(col.alias("text")), rated_words)
     ordinary |= usual
     weights = fit(rated, ordinary, taught(rated, Words(ordinary), held, number))
