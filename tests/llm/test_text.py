@@ -1,6 +1,7 @@
 """Garbled text, cut text, BPE and leaks, on small fixtures."""
 
 import random
+import time
 
 import pytest
 
@@ -113,5 +114,29 @@ def test_items_in_blocks_give_the_same(spark, monkeypatch):
     items = _frame(spark, [(i, f"{ITEM} number {i}", "s") for i in range(4)])
     docs = _frame(spark, [(i, f"{ITEM} number {i}", "s") for i in range(4)])
     one = sorted((r.doc, r.item, r.share) for r in leaks.leaks(docs, "id", "text", items, "id", "text").collect())
-    monkeypatch.setattr(leaks, "BLOCK_CHARS", 200)
+    monkeypatch.setattr(leaks, "BLOCK_WORDS", 40)
     assert sorted((r.doc, r.item, r.share) for r in leaks.leaks(docs, "id", "text", items, "id", "text").collect()) == one
+
+
+def test_stock_phrase_repeated_in_one_text():
+    """Work grows with the hits, not with their square."""
+    items = leaks.Items([(i, "the same phrase again " * 3 + f"closing words of item number {i} alone here") for i in range(4)], 3)
+    text = "so the same phrase again " * 25_000 + "the same phrase again " * 3 + "closing words of item number 2 alone here"
+    began = time.perf_counter()
+    got = items.search(text, 0.5, 3)
+    assert time.perf_counter() - began < 20 and 2 in {g[0] for g in got}
+
+
+@pytest.mark.parametrize("n", [1, 2, 4, 5, 9])
+def test_short_items_are_found_whole(n):
+    item = " ".join(f"word{chr(97 + i)}" for i in range(n))
+    items = leaks.Items([(1, item), (2, ""), (3, "  ")], 3)
+    assert [(g[0], g[1]) for g in items.search(f"Before {item} after.", 0.5, 3)] == [(1, 1.0)]
+    assert not items.search("Before and after.", 0.5, 3)
+
+
+def test_offsets_through_markup():
+    items = leaks.Items([(1, ITEM)], 3)
+    text = "É &amp; <i>intro</i> " + ITEM.replace(" ", " <b></b>&nbsp;", 3) + " End."
+    ((_, share, low, high),) = items.search(text, 0.5, 3)
+    assert share == 1.0 and text[low:high].split(" ")[0] == ITEM.split(" ")[0].strip(".") and text[high:] in (" End.", ". End.")
