@@ -5,14 +5,16 @@ every pair (right encoding, wrong encoding); one Aho-Corasick automaton over all
 of them finds the damaged spans, and only those spans are replaced, so correct
 text beside them stays as it is.  Of three-byte characters the automaton holds
 the spelling of the first two bytes, the third is read off the table of the wrong
-encoding; that keeps it at some ten thousand patterns instead of half a million.
-Text that went through the mistake twice is repaired by repeating the pass.
+encoding, as are the third and fourth of four-byte characters; that keeps it at some
+ten thousand patterns instead of some millions.  Text that went through the mistake
+more than once is repaired by repeating the pass until nothing is left.
 
 Text of one single-byte alphabet read as another (``Evaluaciуn``, ``l„o``) has
 no spelling that is wrong by itself, as every character is a proper one; there
 the words that cannot be proper (letters of two scripts, a sign or a capital
-inside a word, inverted case) are read again for each pair of alphabets.  U+FFFD
-shows that bytes were lost.
+inside a word, inverted case) are read again for each pair of alphabets.  Degree and
+quotation marks read as letters are known by where they stand.  U+FFFD shows that
+bytes were lost.
 
 Defined results for odd input: null and empty values give no row, nor do values
 of ASCII only; a value with U+FFFD gives a row with ``lossy`` true; repeated rows
@@ -74,6 +76,8 @@ def automaton() -> ahocorasick.Automaton:
     spellings: dict[str, list[tuple[str, bytes]]] = {}
     heads = [bytes([a, b]) for a in (*range(0xC2, 0xE0), *range(0xE1, 0xF0)) for b in range(0x80, 0xC0)]
     heads += [bytes([0xE0, b]) for b in range(0xA0, 0xC0)]
+    heads += [bytes([0xF0, b]) for b in range(0x90, 0xC0)] + [bytes([a, b]) for a in (0xF1, 0xF2, 0xF3) for b in range(0x80, 0xC0)]
+    heads += [bytes([0xF4, b]) for b in range(0x80, 0x90)]
     for wrong, back in tables().items():
         char = {b: c for c, b in back.items()}
         for head in heads:
@@ -153,15 +157,17 @@ def _spans(text: str) -> list[tuple[int, int, str, str]]:
             elif head[0] < 0xE0:
                 right = head.decode("utf-8")
             else:
-                c = _at(text, stop)
-                third = tables()[wrong].get(c, 0xBF if c == "�" else 0)
-                if not 0x80 <= third < 0xC0:
+                back, more = tables()[wrong], 1 if head[0] < 0xF0 else 2
+                rest = [_at(text, stop + k) for k in range(more)]
+                tail = bytes(back.get(c, 0xBF if c == "�" else 0) for c in rest)
+                if not all(0x80 <= b < 0xC0 for b in tail):
                     continue
-                stop += 1
-                right = "�" if c == "�" else (head + bytes([third])).decode("utf-8", "replace")
+                stop += more
+                right = "�" if "�" in rest else (head + tail).decode("utf-8", "replace")
             if right and unicodedata.category(right) in ("Cn", "Co"):
                 continue
-            if head[0] < 0xE0 and not ("\xa0" <= right < "ɐ" or "Α" <= right <= "ω" or "Ѐ" <= right < "ѐ" or "ѐ" <= right < "Ѡ" or "ˆ" <= right <= "˝" or "΄" <= right <= "ώ"):
+            inner = right < "\xa0" and 0x80 <= ord(_at(text, start + 1)) < 0xA0  # a byte of a further pass
+            if head[0] < 0xE0 and not (inner or "\xa0" <= right < "ɐ" or "Α" <= right <= "ω" or "Ѐ" <= right < "ѐ" or "ѐ" <= right < "Ѡ" or "ˆ" <= right <= "˝" or "΄" <= right <= "ώ"):
                 continue
             found.append((start, stop, wrong, right))
             last = stop
@@ -203,7 +209,7 @@ def _leads() -> frozenset[str]:
     rare characters that name the mistake by themselves."""
     out = set()
     for wrong in DOUBLE_BYTE:
-        for lead in (b"\xe2\x80", b"\xe2\x82", b"\xe2\x89", b"\xe2\x86", b"\xe2\x84", b"\xef\xbc", b"\xe3\x80"):
+        for lead in (b"\xe2\x80", b"\xe2\x82", b"\xe2\x89", b"\xe2\x86", b"\xe2\x84", b"\xef\xbc", b"\xe3\x80", b"\xf0\x9f"):
             s = lead.decode(wrong, "ignore")
             if len(s) == 1 and _script(s) == "cjk":
                 out.add(s)
@@ -300,13 +306,46 @@ def _verdict(word: str) -> tuple[str, tuple[str, str] | None]:
     return reason, _reread(word, reason) if reason else None
 
 
+def _whole(words: list[str]) -> tuple[str, dict[str, str]] | None:
+    """(pair, right words) of the one pair of alphabets that reads most of a value's
+    words beyond ASCII.  A value goes through one mistake, so its odd words tell for
+    the others too; a proper word beside them is not readable by the pair, as its
+    letters then stand for signs or have no byte."""
+    best: tuple[float, str, dict[str, str]] | None = None
+    for right, wrong in ALPHABETS:
+        score, out = 0.0, {}
+        for word in words:
+            try:
+                again = word.encode(wrong).decode(right)
+            except (UnicodeEncodeError, UnicodeDecodeError):
+                continue
+            if again == word:
+                continue
+            letters = [c for c in again if _letter(c)]
+            if sum(map(_letter, word)) < 2 and not _odd(word):
+                continue  # a sign by itself says nothing
+            inner = any(not c.isascii() and not _letter(c) and c != "’" for c in again.strip("“”„‘’«»—–…°±·")[1:-1])
+            if not letters or not _readable(again) or inner:
+                score -= 0.7 * bool(letters)
+                continue
+            if {_script(c) for c in word if _letter(c)} == {"cyrillic"} == {_script(c) for c in letters} and _cost(letters) > _cost([c for c in word if _letter(c)]):
+                continue  # a proper word, read as another
+            out[word] = again
+            cyrillic = _script(letters[0]) == "cyrillic"
+            score += 1 + max(0.0, 12 - _cost(letters)) / 12 if cyrillic else 1 - 0.2 * sum(c.isupper() and not c.isascii() for c in letters[1:])
+        if out and (best is None or score > best[0]):
+            best = (score, f"{right}>{wrong}", out)
+    return best and best[1:]
+
+
 #: A ruled line, of which box characters are a proper part.
 _RULE = re.compile(r"([─-▟])\1\1")
 
 
-def _contexts() -> list[tuple[str, re.Pattern, str]]:
-    """Signs of cp1252 whose misread form is a letter or another sign, known by
-    where they stand: a degree before C or F, and a pair of quotation marks."""
+def _contexts() -> list[tuple[str, re.Pattern, str, str]]:
+    """(sign, where it stands, right text, pair): signs of cp1252 whose misread form
+    is a letter or another sign.  A degree stands before C or F, quotation marks
+    round a stretch of words."""
     out = []
     for wrong in ("cp850", "cp437", "mac_roman", "cp1251", "koi8_r", "cp866"):
         for right in ("cp1252", "koi8_r"):
@@ -314,26 +353,25 @@ def _contexts() -> list[tuple[str, re.Pattern, str]]:
                 continue
             sign = "°".encode(right).decode(wrong, "ignore")
             if sign and sign != "°":
-                out.append((sign, re.compile(rf"(?<=\d ){re.escape(sign)}(?=[CF]\b)|(?<=\d){re.escape(sign)}(?=[CF]\b)"), f"{right}>{wrong}"))
+                out.append((sign, re.compile(rf"(?<=\d ){re.escape(sign)}(?=[CF]\b)|(?<=\d){re.escape(sign)}(?=[CF]\b)"), "°", f"{right}>{wrong}"))
         for a, b in ("‘’", "“”"):
             x, y = a.encode("cp1252").decode(wrong, "ignore"), b.encode("cp1252").decode(wrong, "ignore")
             if x and y and x != a and x.isalpha() and y.isalpha():
-                out.append((x, re.compile(rf"(?<!\w){x}(?=[A-Za-z][^{x}{y}]{{0,120}}?[A-Za-z]{y}(?!\w))"), f"cp1252>{wrong}"))
-    out += [(sign, re.compile(rf"^{sign}(?=[A-Z])"), "single_byte") for sign in "†љ"]
+                out.append((x, re.compile(rf"(?<!\w){x}(?=[A-Za-z])([^{x}{y}]{{0,120}}?[A-Za-z]){y}(?!\w)"), rf"{a}\1{b}", f"cp1252>{wrong}"))
     return out
 
 
 _CONTEXTS = _contexts()
 
 
-def examine(text: str) -> tuple[int, list[str], bool, str] | None:
-    """(number of damaged spans, encoding pairs, whether characters were lost,
-    repaired text) of a garbled text; None for any other."""
+#: Number of damaged spans, encoding pairs, whether characters are lost, the text.
+Found = tuple[int, set[str], bool, str]
+
+
+def _as_utf8(text: str) -> Found:
+    """UTF-8 read wrongly, put right span by span, as often as it takes."""
     n, pairs, lossy, now = 0, set(), False, text
-    for _ in range(4):
-        spans = _spans(now)
-        if not spans:
-            break
+    while spans := _spans(now):
         out, at = [], 0
         for s, e, wrong, right in spans:
             if s < at:
@@ -349,30 +387,66 @@ def examine(text: str) -> tuple[int, list[str], bool, str] | None:
             at = e
             n += 1
         now, was = "".join([*out, now[at:]]), now
-        if now == was:
+        if len(now) >= len(was):  # each further pass is of a shorter text
             break
-    out, at = [], 0
+    return n, pairs, lossy, now
+
+
+def _as_alphabet(now: str) -> Found:
+    """One single-byte alphabet read as another, put right word by word."""
+    n, pairs, lossy = 0, set(), False
+    places = []
     for run in _BEYOND.finditer(now):
-        if run.start() < at:
+        if places and run.start() < places[-1][1]:
             continue
         start, stop = now.rfind(" ", 0, run.start()) + 1, now.find(" ", run.end())
-        word = now[start : stop if stop >= 0 else len(now)]
-        reason, again = _verdict(word.strip(_EDGE))
+        places.append((start, stop if stop >= 0 else len(now)))
+    bare = [now[a:b].strip(_EDGE) for a, b in places]
+    verdicts = [_verdict(w) for w in bare]
+    odd = {w for w, (_, again) in zip(bare, verdicts) if again}
+    pair, right_words = (_whole(sorted(set(bare) - {""})) if odd else None) or ("", {})
+    if not odd & set(right_words):
+        right_words = {}
+    out, at = [], 0
+    for (start, stop), word, (reason, again) in zip(places, bare, verdicts):
+        if word in right_words and reason != "alone":
+            again = (pair, right_words[word])
         if again:
             pairs.add(again[0])
-            out += [now[at:start], word.replace(word.strip(_EDGE), again[1], 1)]
+            out += [now[at:start], now[start:stop].replace(word, again[1], 1)]
             n += 1
-        elif reason == "box" and not _RULE.search(word):
-            out.append(now[at : start + len(word)])
-            n, lossy = n + 1, True
         else:
-            out.append(now[at : start + len(word)])
-        at = start + len(word)
+            out.append(now[at:stop])
+            if reason == "box" and not _RULE.search(now[start:stop]):
+                n, lossy = n + 1, True
+        at = stop
     now = "".join([*out, now[at:]])
-    for sign, rx, pair in _CONTEXTS:
-        if sign in now and (found := rx.findall(now)):
-            pairs.add(pair)
-            n += len(found)
+    return n, pairs, lossy, now
+
+
+def _left_over(text: str) -> int:
+    """The words that still cannot be proper."""
+    return sum(1 for w in text.split(" ") if not w.isascii() and _odd(w.strip(_EDGE))) + text.count("\ufffd")
+
+
+def examine(text: str) -> tuple[int, list[str], bool, str] | None:
+    """(number of damaged spans, encoding pairs, whether characters were lost,
+    repaired text) of a garbled text; None for any other."""
+    n, pairs, lossy, now = _as_utf8(text)
+    more, other, lost, after = _as_alphabet(now)
+    if n and (left := _left_over(after)):
+        # letters of one alphabet read as another may look like UTF-8 by chance
+        alone = _as_alphabet(text)
+        if alone[0] and _left_over(alone[3]) < left:
+            n, pairs, lossy, now = 0, set(), False, text
+            more, other, lost, after = alone
+    n, pairs, lossy, now = n + more, pairs | other, lossy | lost, after
+    for sign, rx, right, pair in _CONTEXTS:
+        if sign in now:
+            now, found = rx.subn(right, now)
+            if found:
+                pairs.add(pair)
+                n += found
     if "�" in text:
         n, lossy = n + text.count("�"), True
     return (n, sorted(pairs), lossy, now) if n else None
