@@ -129,6 +129,15 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 _COUNTS = "kind string, key bigint, word string, length int, n bigint, n_end bigint"
 
 
+def tail(text: str, enough: int = 250) -> str:
+    """So much of a text's end that the patterns of an end find there what they find
+    in the whole: beside dots and blanks they reach back 202 characters."""
+    size = 2 * enough
+    while size < len(text) and sum(map(len, text[-size:].replace(".", "").split())) < enough:
+        size *= 2
+    return text[-size:]
+
+
 def judge_end(text: str) -> tuple[str, str, list[str], list[str]]:
     """(state, last token, last two tokens, last sentence) of a value.
     State: 'complete', 'cut' (shown by the value itself), 'listed' (the value
@@ -137,8 +146,7 @@ def judge_end(text: str) -> tuple[str, str, list[str], list[str]]:
     if not bare or bare.lower().strip(" .()[]") in PLACEHOLDERS or sum(c.isalpha() for c in bare) < 4:
         return "complete", "", [], []
     stripped = (_TAGS.sub(" ", bare) if "<" in bare else bare).rstrip()
-    # the patterns of an end reach back 202 characters at most
-    end = stripped[-300:]
+    end = tail(stripped)
     if _OMISSION.search(end):
         return "cut", "", [], []
     if m := _HALF.search(end):
@@ -213,23 +221,54 @@ class Trie:
         return "" in node, any(k for k in node)
 
 
+_LOOKED_SQL = "token string, known boolean, prefix boolean, n_token bigint, n_token_end bigint"
 _LOOKED = pa.schema([("token", pa.string()), ("known", pa.bool_()), ("prefix", pa.bool_()), ("n_token", pa.int64()), ("n_token_end", pa.int64())])
 
 
 def _shard(words: pa.Table, asked: pa.Table) -> pa.Table:
     """Looks the asked tokens up in the trie of one shard; of known words it also
-    gives how often they stand and how often they end a sentence."""
+    gives how often they stand and how often they end a sentence.  A word seen once
+    may complete a fragment, but is not known by that."""
     trie = Trie()
     tokens_ = asked.column("token").to_pylist()
     for w in words.column("word").to_pylist() if tokens_ else ():
         trie.add(w)
     numbers = dict(zip(words.column("word").to_pylist(), zip(words.column("n").to_pylist(), words.column("n_end").to_pylist())))
-    found = [(t, *trie.look(t), *numbers.get(t, (0, 0))) for t in tokens_]
+    found = []
+    for t in tokens_:
+        n, n_end = numbers.get(t, (0, 0))
+        word, prefix = trie.look(t)
+        found.append((t, word and n >= 2, prefix, n, n_end))
     return pa.Table.from_pylist([dict(zip(_LOOKED.names, row)) for row in found], schema=_LOOKED)
 
 
+#: Letters by which the trie is split into shards.
+SHARD = 3
+
+
 def _first(c: Column) -> Column:
-    return F.substring(c, 1, 3)
+    return F.substring(c, 1, SHARD)
+
+
+def _short(words: DataFrame, asked: DataFrame) -> DataFrame:
+    """The same answers for tokens shorter than the letters of a shard, which may
+    begin words of many shards: beginnings are counted natively."""
+    begun = None
+    for k in range(1, SHARD):
+        longer = F.length("word") > k
+        mine = words.select(F.substring("word", 1, k).alias("token"), longer.alias("longer"), F.when(longer, 0).otherwise(F.col("n")).alias("n"), F.when(longer, 0).otherwise(F.col("n_end")).alias("n_end")).where(F.length("token") == k)
+        begun = mine if begun is None else begun.unionByName(mine)
+    begun = begun.groupBy("token").agg(F.max("longer").alias("prefix"), F.sum("n").alias("n_token"), F.sum("n_end").alias("n_token_end"))
+    zero = F.lit(0).cast("bigint")
+    return asked.join(begun, "token", "left").select("token", (F.coalesce("n_token", zero) >= 2).alias("known"), F.coalesce("prefix", F.lit(False)).alias("prefix"), F.coalesce("n_token", zero).alias("n_token"), F.coalesce("n_token_end", zero).alias("n_token_end"))
+
+
+def _joined(left: DataFrame, right: DataFrame, key: str, apart: Column) -> DataFrame:
+    """A left join in which rows without a key, which match nothing, go to the
+    partition of ``apart`` instead of all to that of null."""
+    given = left.withColumn("__given", F.col(key).isNotNull()).withColumn("__key", F.coalesce(F.col(key), apart))
+    other = right.withColumnRenamed(key, "__key").withColumn("__given", F.lit(True))
+    return given.join(other, ["__key", "__given"], "left").drop("__key", "__given")
 
 
 def _limits(by_length: DataFrame) -> DataFrame:
@@ -259,16 +298,19 @@ def truncated(df: DataFrame, id_column: str, text_column: str, source_column: st
     counts = settle(counts.groupBy("kind", "key", "word", "length").agg(F.sum("n").alias("n"), F.sum("n_end").alias("n_end")))
     open_ = ends.where("state <> 'cut'")
 
-    words = counts.where("kind = 'u' and n >= 2").select(_first(F.col("word")).alias("shard"), "word", "n", "n_end")
+    words = counts.where("kind = 'u'").select(_first(F.col("word")).alias("shard"), "word", "n", "n_end")
     asked = open_.where("token is not null").select("token").distinct().select(_first(F.col("token")).alias("shard"), "token")
-    trie = words.groupBy("shard").cogroup(asked.groupBy("shard")).applyInArrow(_shard, "token string, known boolean, prefix boolean, n_token bigint, n_token_end bigint")
+    long_ = asked.where(F.length("token") >= SHARD)
+    trie = words.groupBy("shard").cogroup(long_.groupBy("shard")).applyInArrow(_shard, _LOOKED_SQL)
+    trie = trie.unionByName(_short(words, asked.where(F.length("token") < SHARD).select("token")))
 
     asked_pairs = open_.select(F.col("pair").alias("key")).distinct()
     pairs = counts.where("kind = 'b'").join(asked_pairs, "key", "left_semi").select(F.col("key").alias("pair"), F.col("n").alias("n_pair"), "n_end")
     lengths = counts.where("kind = 'l'").join(open_.select(F.col("opening").alias("key")).distinct(), "key", "left_semi")
     lengths = lengths.groupBy(F.col("key").alias("opening")).agg(F.sum("n").alias("n_opening"), F.collect_list(F.struct(F.col("length").alias("l"), "n")).alias("by_length"))
 
-    judged = open_.join(trie, "token", "left").join(pairs, "pair", "left").join(lengths, "opening", "left").join(of_all, "n_chars", "left")
+    judged = _joined(_joined(_joined(open_, trie, "token", F.concat(F.lit("\0"), F.col("id"))), pairs, "pair", F.col("id")), lengths, "opening", F.col("id"))
+    judged = judged.join(of_all, "n_chars", "left")
     judged = judged.join(of_source, F.col("source").eqNullSafe(F.col("s")) & (F.col("n_chars") == F.col("c")), "left")
     at_limit = F.coalesce("own_limit", "shared_limit", F.lit(False))
     pair_end = F.when(F.col("n_pair") >= least_support, F.col("n_end") / F.col("n_pair")).when(F.col("n_token") >= least_support, F.col("n_token_end") / F.col("n_token"))

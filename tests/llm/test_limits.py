@@ -1,3 +1,5 @@
+import random
+
 import pytest
 
 from scholarlake.llm import truncation
@@ -21,3 +23,23 @@ def test_one_text_fetched_often_makes_no_limit_of_its_source(spark):
     rows = [(k, _value(420, 1), "small") for k in range(6)]
     rows += [(1000 + 10 * c + k, _value(c, 1000 + 10 * c + k), "large") for c in range(414, 427) for k in range(3)]
     assert truncation.truncated(spark.createDataFrame(rows, "i bigint, t string, s string"), "i", "t", "s").count() == 0
+
+
+def test_the_tail_shows_what_the_whole_text_shows():
+    rnd = random.Random(5)
+    pieces = ["word ", "...", " ", "…", "[", "]", "(", ")", "<b", ">", "&amp", "\\u00", "continued", "read more", ". ", "\n" * 40, "." * 400, " . " * 200, "x" * 120]
+    for _ in range(1500):
+        text = ("filler words " * 60 + "".join(rnd.choices(pieces, k=rnd.randint(1, 12)))).rstrip()
+        end = truncation.tail(text)
+        for pattern in (truncation._OMISSION, truncation._HALF):
+            whole, part = pattern.search(text), pattern.search(end)
+            assert bool(whole) == bool(part), text[-300:]
+            if whole and len(whole.group()) <= len(end):
+                assert whole.group() == part.group()
+
+
+def test_short_fragments_and_words_seen_once(spark):
+    rows = [(k, f"Report {k} counts the gulls near harbour {k}. The quay of zone {k} was exposed.", "s") for k in range(30)]
+    rows += [(100, "Report 9 counts the gulls near harbour 7. The quay of zone 8 was ex", "s"), (101, "Once the gulls of harbour 5 met a turabomart.", "s"), (102, "Report 8 counts the gulls near harbour 1. They met a turabom", "s")]
+    got = truncation.truncated(spark.createDataFrame(rows, "i bigint, t string, s string"), "i", "t", "s").collect()
+    assert {x.i: x.evidence for x in got} == {100: "word", 102: "word"}
