@@ -393,8 +393,15 @@ def _as_utf8(text: str) -> Found:
 
 
 def _as_alphabet(now: str) -> Found:
-    """One single-byte alphabet read as another, put right word by word."""
+    """One single-byte alphabet read as another: signs known by their place are put
+    right first, then words."""
     n, pairs, lossy = 0, set(), False
+    for sign, rx, right, pair in _CONTEXTS:
+        if sign in now:
+            now, found = rx.subn(right, now)
+            if found:
+                pairs.add(pair)
+                n += found
     places = []
     for run in _BEYOND.finditer(now):
         if places and run.start() < places[-1][1]:
@@ -441,12 +448,6 @@ def examine(text: str) -> tuple[int, list[str], bool, str] | None:
             n, pairs, lossy, now = 0, set(), False, text
             more, other, lost, after = alone
     n, pairs, lossy, now = n + more, pairs | other, lossy | lost, after
-    for sign, rx, right, pair in _CONTEXTS:
-        if sign in now:
-            now, found = rx.subn(right, now)
-            if found:
-                pairs.add(pair)
-                n += found
     if "�" in text:
         n, lossy = n + text.count("�"), True
     return (n, sorted(pairs), lossy, now) if n else None
