@@ -3,19 +3,24 @@
 Method: Bayesian fusion with copy detection.  A claim says that a source gives a
 value to an item.  Rounds estimate, in turn, how accurate each source is, how
 likely one source copies another (sources that share many values that others
-reject), and the probability of each value; a copied vote counts only as far as
-it is likely to be its source's own.  The value of the highest posterior wins.
+reject), and the probability of each value, until the accuracies stand still; a
+copied vote counts only as far as it is likely to be its source's own.  The value
+of the highest posterior wins.
 
+Recency is part of the model: a claim of an item's k-th last moment has ``STALE`` to
+the power k of its weight, so old values compete but what is newer weighs more than
+all that is older, and a source whose claims are out of date loses accuracy by it.
 For the survivor an item is a paper of a group and the claims are its citation
-counts, each run of the audit being a source.  A count is out of date once a later one has
-been logged, so only the claims of an item's latest moment compete, and the
-fused model decides between them; the paper with the highest count survives.
-Its fields are then fused one by one from the search rows of the group: claims
-of the survivor's own rows before those of the others, which only complete it.
+counts, each run of the audit being a source; the paper with the highest count
+survives.  Its fields are then fused one by one from the search rows of the group,
+with the survivor's own rows for the latest moment and those of the others, which
+only complete it, for the one before.
 
-Claims are grouped by item and value; such a group holds each source at most
-once, so it is bounded by the number of sources (``MOST_SOURCES``, checked), and
-only tables of sources and of pairs of sources reach the driver.
+Only items with more than one value go through the rounds; of the others, equal sets
+of sources are counted natively.  Values longer than a hash travel as their hash and
+are joined to the winners.  A group of an item and a value holds each source at most
+once, so it is bounded by the number of sources (``MOST_SOURCES``, checked), and only
+tables of sources and of pairs of sources reach the driver.
 
 Defined results for odd input: a null count is no observation, and a null, blank
 or ``N/A`` id no paper; rows logged twice count once; ties between counts go to
@@ -32,12 +37,16 @@ from functools import partial
 
 import pyarrow as pa
 from pyspark import Broadcast
-from pyspark.sql import Column, DataFrame, functions as F, types as T
+from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 from scholarlake.llm.common import settle
 
 MOST_SOURCES = 5000
-ROUNDS = 2
+#: Rounds at most, and the change of an accuracy that counts as none.
+ROUNDS, STILL = 8, 0.002
+#: Weight of a claim against one of the item's next moment: with accuracies kept from
+#: 0.05 to 0.99 even all sources of an older moment weigh less than one of a newer.
+STALE = 1e-6
 COPY_PRIOR, COPY_SHARE, WRONG_VALUES = 0.05, 0.8, 50.0
 FIELDS = ("title", "abstract", "year", "venue", "publicationDate", "citationCount", "url")
 #: Fields that come out in the type of their column; where a table lacks one, so does the result.
@@ -56,7 +65,7 @@ class Model:
         discounted by the chance that it copied one before it."""
         total, before = 0.0, []
         for s in sorted(sources, key=lambda x: (-self.accuracy.get(x, 0.8), x)):
-            a = min(0.99, max(0.01, self.accuracy.get(s, 0.8)))
+            a = min(0.99, max(0.05, self.accuracy.get(s, 0.8)))
             own = 1.0
             for b in before:
                 own *= 1 - COPY_SHARE * self.copies.get((min(s, b), max(s, b)), 0.0)
@@ -65,7 +74,7 @@ class Model:
         return total
 
     def learn(self, source: dict[str, tuple[float, float]], true: Counter, false: Counter, overlap: Counter) -> None:
-        """source: (claims, sum of their probabilities); true, false, overlap:
+        """source: (claims, sum of their probabilities); true, false, overlap: number of
         items on which a pair shares a right or a wrong value, or both speak."""
         self.accuracy = {s: (p + 4) / (n + 5) for s, (n, p) in source.items()}
         for pair, both in overlap.items():
@@ -85,99 +94,131 @@ def _pairs(sources: list[str]) -> Iterator[tuple[str, str]]:
     return ((sources[i], sources[j]) for i in range(len(sources)) for j in range(i + 1, len(sources)))
 
 
-_VOTE = pa.schema([("item", pa.string()), ("value", pa.string()), ("sources", pa.list_(pa.string())), ("vote", pa.float64())])
-_VOTE_SQL = "item string, value string, sources array<string>, vote double"
-
-
 def _votes(batches: Iterator[pa.RecordBatch], sent: Broadcast) -> Iterator[pa.RecordBatch]:
-    model = sent.value
+    """Adds the ``vote`` of the sources of each row."""
+    model, known = sent.value, {}
     for batch in batches:
-        sources = batch.column(2).to_pylist()
-        yield pa.RecordBatch.from_arrays([batch.column(0).cast(pa.string()), batch.column(1).cast(pa.string()), pa.array(sources, pa.list_(pa.string())), pa.array([model.vote(s) for s in sources], pa.float64())], schema=_VOTE)
+        sources = [tuple(sorted(s)) for s in batch.column("sources").to_pylist()]
+        for s in sources:
+            if s not in known:
+                known[s] = model.vote(list(s))
+        yield batch.append_column("vote", pa.array([known[s] for s in sources], pa.float64()))
 
 
 _STAT = pa.schema([("kind", pa.string()), ("a", pa.string()), ("b", pa.string()), ("n", pa.float64()), ("p", pa.float64())])
 _STAT_SQL = "kind string, a string, b string, n double, p double"
 
 
-def _stat_batch(n: Counter, p: Counter) -> pa.RecordBatch:
-    rows = [(*k, float(v), float(p.get(k, 0.0))) for k, v in n.items()]
-    return pa.RecordBatch.from_pylist([dict(zip(_STAT.names, r)) for r in rows], schema=_STAT)
+def _statistics(batches: Iterator[pa.RecordBatch], alone: bool) -> Iterator[pa.RecordBatch]:
+    """Claims of each source with their probability, and the pairs of sources that
+    share a value; ``alone``: nobody else speaks, so the pairs overlap as well."""
+    n: Counter = Counter()
+    p: Counter = Counter()
+    for batch in batches:
+        for sources, probability, best, times in zip(*(batch.column(c).to_pylist() for c in ("sources", "probability", "best", "times"))):
+            for s in sources:
+                n["source", s, ""] += times
+                p["source", s, ""] += times * probability
+            for a, b in _pairs(sources):
+                n["true" if best else "false", a, b] += times
+                if alone:
+                    n["overlap", a, b] += times
+    yield _stat_batch(n, p)
 
 
 def _overlaps(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     n: Counter = Counter()
     for batch in batches:
-        for sources in batch.column(0).to_pylist():
+        for sources, times in zip(*(batch.column(c).to_pylist() for c in ("sources", "times"))):
             for a, b in _pairs(sources):
-                n["overlap", a, b] += 1
+                n["overlap", a, b] += times
     yield _stat_batch(n, Counter())
 
 
-def _statistics(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    n: Counter = Counter()
-    p: Counter = Counter()
-    for batch in batches:
-        for sources, probability, best in zip(*(c.to_pylist() for c in batch.columns)):
-            for s in sources:
-                n["source", s, ""] += 1
-                p["source", s, ""] += probability
-            for a, b in _pairs(sources):
-                n["true" if best else "false", a, b] += 1
-    yield _stat_batch(n, p)
+def _stat_batch(n: Counter, p: Counter) -> pa.RecordBatch:
+    rows = [(*k, float(v), float(p.get(k, 0.0))) for k, v in n.items()]
+    return pa.RecordBatch.from_pylist([dict(zip(_STAT.names, r)) for r in rows], schema=_STAT)
 
 
-def _collected(stats: DataFrame) -> dict[str, dict]:
+def _collected(stats: DataFrame) -> dict[str, Counter]:
     """Sums by source and by pair of sources: bounded by the number of sources."""
-    out: dict[str, dict] = {"source": {}, "true": Counter(), "false": Counter(), "overlap": Counter()}
+    out: dict[str, Counter] = {k: Counter() for k in ("source", "right", "true", "false", "overlap")}
     for r in stats.groupBy("kind", "a", "b").agg(F.sum("n").alias("n"), F.sum("p").alias("p")).collect():
         if r.kind == "source":
-            out["source"][r.a] = (r.n, r.p)
+            out["source"][r.a], out["right"][r.a] = r.n, r.p
         else:
             out[r.kind][r.a, r.b] = r.n
     return out
 
 
-def _by_value(claims: DataFrame) -> DataFrame:
-    return claims.groupBy("item", "value").agg(F.collect_set("source").alias("sources"))
-
-
-def _posteriors(values: DataFrame, model: Model) -> DataFrame:
-    """item, value, sources, probability and ``best``, the winner of the item."""
-    sent = values.sparkSession.sparkContext.broadcast(model)
-    voted = values.mapInArrow(partial(_votes, sent=sent), _VOTE_SQL)
-    top = voted.groupBy("item").agg(F.max("vote").alias("top"), F.max_by("value", F.struct("vote", "value")).alias("winner"))
-    voted = voted.join(top, "item")
-    weight = F.exp(F.greatest(F.col("vote") - F.col("top"), F.lit(-50.0)))
-    total = voted.groupBy("item").agg(F.sum(weight).alias("total"))
-    return voted.join(total, "item").select("item", "value", "sources", (weight / F.col("total")).alias("probability"), (F.col("value") == F.col("winner")).alias("best"))
-
-
-def estimate(claims: DataFrame) -> Model:
-    """The model of all claims (item, source, value: strings, distinct)."""
-    sources = claims.select("source").distinct().count()
+def _posteriors(contested: DataFrame, item: list[str], model: Model) -> DataFrame:
+    """item, vid, the sources that give it, ``probability`` and ``best``, of the rows
+    (item, vid, back, sources), ``back`` telling how many moments old a claim is."""
+    sent = contested.sparkSession.sparkContext.broadcast(model)
+    schema = T.StructType([*contested.schema.fields, T.StructField("vote", T.DoubleType())])
+    voted = contested.mapInArrow(partial(_votes, sent=sent), schema)
+    weight = F.col("vote") * F.pow(F.lit(STALE), F.col("back"))
+    # one exchange by item serves the values and the windows over them
+    summed = voted.repartition(*item).groupBy(*item, "vid").agg(F.sum(weight).alias("vote"), F.array_distinct(F.flatten(F.collect_list("sources"))).alias("sources"))
+    of_item = Window.partitionBy(*item)
+    summed = summed.withColumn("top", F.max(F.struct("vote", "vid")).over(of_item))
+    chance = F.exp(F.greatest(F.col("vote") - F.col("top.vote"), F.lit(-50.0)))
+    probability = chance / F.sum(chance).over(of_item)
+    return summed.select(*item, "vid", "sources", probability.alias("probability"), (F.col("vid") == F.col("top.vid")).alias("best"))
+
+
+def _settled_claims(claims: DataFrame, item: list[str], order: str | None) -> DataFrame:
+    """Rows (item, vid, back, sources, contested), each item, value and moment once."""
+    moment = F.col(order) if order else F.lit(0)
+    at = claims.select(*item, "vid", "source", moment.alias("at")).groupBy(*item, "vid", "at").agg(F.collect_set("source").alias("sources"))
+    of_item = Window.partitionBy(*item)
+    back = F.dense_rank().over(of_item.orderBy(F.col("at").desc_nulls_last())) - 1
+    contested = F.min("vid").over(of_item) != F.max("vid").over(of_item)
+    return settle(at.select(*item, "vid", back.alias("back"), F.array_sort("sources").alias("sources"), contested.alias("contested")))
+
+
+def estimate(settled: DataFrame, item: list[str]) -> Model:
+    """The model of all claims, as ``_settled_claims`` gives them."""
+    sources = settled.select(F.explode("sources").alias("s")).distinct().count()
     if sources > MOST_SOURCES:
         raise ValueError(f"{sources} sources; at most {MOST_SOURCES} can be compared pair by pair")
-    values = settle(_by_value(claims))
-    overlap = _collected(claims.groupBy("item").agg(F.collect_set("source").alias("s")).where(F.size("s") > 1).select("s").mapInArrow(_overlaps, _STAT_SQL))["overlap"]
+    united = F.array_sort(F.array_distinct(F.flatten(F.collect_list("sources")))).alias("sources")
+    times = F.count("*").alias("times")
+    alone = settled.where("not contested").groupBy(*item).agg(united).groupBy("sources").agg(times)
+    alone = _collected(alone.withColumns({"probability": F.lit(1.0), "best": F.lit(True)}).mapInArrow(partial(_statistics, alone=True), _STAT_SQL))
+    contested = settled.where("contested").drop("contested")
+    overlap = alone["overlap"] + _collected(contested.groupBy(*item).agg(united).groupBy("sources").agg(times).mapInArrow(_overlaps, _STAT_SQL))["overlap"]
     model = Model()
     for _ in range(ROUNDS):
-        stats = _collected(_posteriors(values, model).select("sources", "probability", "best").mapInArrow(_statistics, _STAT_SQL))
-        model.learn(stats["source"], stats["true"], stats["false"], overlap)
+        before = dict(model.accuracy)
+        rows = _posteriors(contested, item, model).select("sources", "probability", "best", F.lit(1).alias("times"))
+        stats = _collected(rows.mapInArrow(partial(_statistics, alone=False), _STAT_SQL))
+        source = {s: (alone["source"][s] + stats["source"][s], alone["right"][s] + stats["right"][s]) for s in {*alone["source"], *stats["source"]}}
+        model.learn(source, alone["true"] + stats["true"], stats["false"], overlap)
+        if not stats["source"] or before and max(abs(a - before.get(s, 0.0)) for s, a in model.accuracy.items()) < STILL:
+            break
     return model
 
 
-def fuse(claims: DataFrame, order: str | None = None, model: Model | None = None) -> DataFrame:
-    """item, ``value`` of the highest posterior, and its ``probability``.  With
-    ``order``, only claims of the item's greatest ``order`` compete; the model is
-    still that of all claims."""
-    distinct = settle(claims.where("value is not null").distinct())
-    plain = distinct.select("item", "source", "value").distinct()
-    model = model or estimate(plain)
-    if order:
-        last = distinct.groupBy("item").agg(F.max(order).alias("__last"))
-        plain = distinct.join(last, "item").where(F.col(order).eqNullSafe(F.col("__last"))).select("item", "source", "value").distinct()
-    return _posteriors(_by_value(plain), model).where("best").select("item", "value", F.round("probability", 6).alias("probability"))
+def value_id(value: Column) -> Column:
+    """A value itself where it is short, else its hash."""
+    return F.when(F.length(value) <= 32, F.concat(F.lit("="), value)).otherwise(F.concat(F.lit("#"), F.md5(value)))
+
+
+def fuse(claims: DataFrame, item: list[str], order: str | None = None) -> DataFrame:
+    """The columns of ``item``, ``value`` of the highest posterior and its
+    ``probability``, of claims (item columns, source, value and ``order``).  With
+    ``order``, claims of an item's later moments outweigh those of earlier ones."""
+    claims = claims.where("value is not null").withColumn("vid", value_id(F.col("value")))
+    settled = _settled_claims(claims, item, order)
+    model = estimate(settled, item)
+    sure = settled.where("not contested").select(*item, "vid", F.lit(1.0).alias("probability")).distinct()
+    won = _posteriors(settled.where("contested").drop("contested"), item, model).where("best").select(*item, "vid", F.round("probability", 6).alias("probability"))
+    winners = sure.unionByName(won)
+    long_ = F.col("vid").startswith("#")
+    texts = claims.where(long_).groupBy(F.col("vid").alias("__vid")).agg(F.first("value").alias("value"))
+    found = winners.where(long_).join(texts, F.col("vid") == F.col("__vid")).select(*item, "value", "probability")
+    return winners.where(~long_).select(*item, F.expr("substring(vid, 2)").alias("value"), "probability").unionByName(found)
 
 
 def paper_id(name: str) -> Column:
@@ -195,19 +236,16 @@ def _members(log: DataFrame) -> DataFrame:
 _KEY = ("category", "normalized_title")
 
 
-def _item(*columns: str) -> Column:
-    return F.to_json(F.array(*[F.coalesce(F.col(c).cast("string"), F.lit("\0")) for c in columns]))
-
-
 def survivors(log: DataFrame) -> DataFrame:
     """category, normalized_title, ``survivor_id``, its ``citations`` and the
     ``probability`` of that count."""
-    seen = settle(_members(log).where("citations is not null").withColumn("item", _item(*_KEY, "paper")))
-    claims = seen.select("item", F.coalesce("run", F.lit("")).alias("source"), F.col("citations").cast("string").alias("value"), "at")
-    fused = fuse(claims, order="at")
-    papers = seen.select("item", *_KEY, "paper").distinct().join(fused, "item")
+    seen = _members(log).where("citations is not null")
+    key = [F.coalesce(F.concat(F.lit("="), F.col(c)), F.lit("")).alias(c) for c in _KEY]
+    claims = seen.select(*key, "paper", F.coalesce("run", F.lit("")).alias("source"), F.col("citations").cast("string").alias("value"), "at")
+    papers = fuse(claims, [*_KEY, "paper"], order="at")
     best = F.max_by(F.struct("paper", "value", "probability"), F.struct(F.col("value").cast("bigint"), F.col("paper"))).alias("b")
-    return papers.groupBy(*_KEY).agg(best).select(*_KEY, F.col("b.paper").alias("survivor_id"), F.col("b.value").cast("int").alias("citations"), F.col("b.probability").alias("probability"))
+    back = [F.when(F.col(c) != "", F.expr(f"substring({c}, 2)")).alias(c) for c in _KEY]
+    return papers.groupBy(*_KEY).agg(best).select(*back, F.col("b.paper").alias("survivor_id"), F.col("b.value").cast("int").alias("citations"), F.col("b.probability").alias("probability"))
 
 
 def _text(c: Column, kind: T.DataType) -> Column:
@@ -250,20 +288,23 @@ def _rebuilt(field: str, kind: T.DataType) -> Column:
     return value if field in FIELDS else _typed(value, kind)
 
 
+def _group() -> Column:
+    """The group of a category and a title, in 16 bytes."""
+    return F.unhex(F.md5(F.to_json(F.array(*_KEY)))).alias("g")
+
+
 def completed(log: DataFrame, papers: DataFrame) -> DataFrame:
     """The surviving record of each group, its fields fused one by one, maps and
     structs key by key.  ``cat``, ``cat_pos``, ``pos`` and ``fetched_at`` say where
     and when a row was found and are no fields of the record."""
     kinds = {f: papers.schema[f].dataType for f in (*FIELDS, *TYPED) if f in FIELDS or f in papers.columns}
-    best = settle(survivors(log))
-    members = _members(log).select(*_KEY, "paper").distinct().join(best.select(*_KEY, "survivor_id"), list(_KEY))
+    best = settle(survivors(log).withColumn("g", _group()))
+    members = _members(log).select(_group().alias("g"), "paper").distinct().join(best.select("g", "survivor_id"), "g")
     rows = papers.select(paper_id("paperId").alias("paper"), F.col("cat").alias("source"), F.concat(*[_claims(f, k) for f, k in kinds.items()]).alias("given")).where("paper is not null")
     rows = rows.withColumn("given", F.filter("given", lambda x: x["value"].isNotNull()))
     given = members.join(rows, "paper").withColumn("own", (F.col("paper") == F.col("survivor_id")).cast("int"))
-    claims = given.select(*_KEY, "source", "own", F.explode("given").alias("f")).select(*_KEY, "source", "own", "f.field", "f.key", "f.value")
-    claims = settle(claims.withColumn("item", _item(*_KEY, "field", "key")))
-    fused = fuse(claims.select("item", F.coalesce("source", F.lit("")).alias("source"), "value", "own"), order="own")
-    named = claims.select("item", *_KEY, "field", "key").distinct().join(fused, "item")
-    wide = named.groupBy(*_KEY).agg(*[_rebuilt(f, k).alias(f) for f, k in kinds.items()])
-    out = best.withColumnRenamed("citations", "latest_citations").join(wide, list(_KEY), "left")
+    claims = given.select("g", "source", "own", F.explode("given").alias("f"))
+    claims = settle(claims.select("g", "f.field", F.coalesce("f.key", F.lit("")).alias("key"), F.coalesce("source", F.lit("")).alias("source"), "f.value", "own").distinct())
+    wide = fuse(claims, ["g", "field", "key"], order="own").groupBy("g").agg(*[_rebuilt(f, k).alias(f) for f, k in kinds.items()])
+    out = best.withColumnRenamed("citations", "latest_citations").join(wide, "g", "left").drop("g")
     return out.withColumn("n_fields", sum((F.col(f).isNotNull().cast("int") for f in kinds), F.lit(0)))

@@ -80,11 +80,41 @@ def test_copies_are_found_from_shared_wrong_values(spark):
             claims.append((f"i{i}", s, "true" if r.random() < 0.9 else f"{s}{i}"))
         wrong = "true" if r.random() < 0.5 else f"lie{i}"
         claims += [(f"i{i}", "liar", wrong), (f"i{i}", "copier", wrong)]
-    model = fusion.estimate(spark.createDataFrame(claims, "item string, source string, value string"))
+    claims = spark.createDataFrame(claims, "item string, source string, value string").withColumnRenamed("value", "vid")
+    model = fusion.estimate(fusion._settled_claims(claims, ["item"], None), ["item"])
     assert model.copies["copier", "liar"] > 0.9 > 0.5 > model.copies["honest1", "honest2"]
     assert model.accuracy["honest1"] > model.accuracy["liar"]
 
 
+def test_fusion_beats_the_majority_on_planted_truth(spark):
+    """Contested items: four good sources, a bad one and two copies of it; long
+    values too.  The share of items won is that of truth."""
+    r = random.Random(5)
+    truth = {i: f"true value {i} " + "x" * (40 * (i % 2)) for i in range(300)}
+    claims = []
+    for i, true in truth.items():
+        for s in ("good1", "good2", "good3", "good4"):
+            claims.append((i, s, true if r.random() < 0.75 else f"{s} errs {i}"))
+        bad = true if r.random() < 0.4 else f"lie {i}"
+        claims += [(i, s, bad if r.random() < 0.97 else f"{s} slips {i}") for s in ("bad", "copy1", "copy2")]
+    frame = spark.createDataFrame(claims, "item bigint, source string, value string")
+    got = {x.item: x.value for x in fusion.fuse(frame, ["item"]).collect()}
+    votes = {}
+    for i, _, v in claims:
+        votes.setdefault(i, []).append(v)
+    majority = sum(max(set(v), key=v.count) == truth[i] for i, v in votes.items())
+    right = sum(got[i] == truth[i] for i in truth)
+    assert len(got) == 300 and right >= 270 and right >= majority + 20, (right, majority)
+
+
+def test_a_newer_moment_outweighs_older_ones_and_ties_are_fused(spark):
+    rows = [(1, f"s{k}", "old", 1) for k in range(30)] + [(1, "s1", "new", 2)]
+    rows += [(2, s, "a" if s != "odd" else "b", 5) for s in ("s1", "s2", "odd")] + [(2, "s9", "c", None)]
+    rows += [(3, "s1", None, 9), (3, "s1", "v", 1), (3, "s1", "v", 1)]
+    frame = spark.createDataFrame(rows, "item bigint, source string, value string, at int")
+    assert {x.item: x.value for x in fusion.fuse(frame, ["item"], order="at").collect()} == {1: "new", 2: "a", 3: "v"}
+
+
 def test_fields_are_completed(spark):
     papers = "cat string, paperId string, title string, abstract string, year int, venue string, publicationDate string, citationCount int, url string"
     log = _log(spark, [("c", "t", "a", 9, "b", 5, "r1", 1)])
