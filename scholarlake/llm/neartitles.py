@@ -29,7 +29,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
-from scholarlake.llm.common import settle
+from scholarlake.llm.common import maybe_broadcast, settle
 
 BITS = 256
 FAN = 8
@@ -109,13 +109,42 @@ def _join_block(block: str, left: list[Member], right: list[Member] | None, num:
                 yield (p.text, q.text, shared, total) if p.text < q.text else (q.text, p.text, shared, total)
 
 
-def _join(batches: Iterator[pa.RecordBatch], num: int, den: int) -> Iterator[pa.RecordBatch]:
+def _classes(pairs: Iterator[tuple]) -> Iterator[tuple]:
+    """(title, least title that the block's links lead to, links, 0) for each title
+    with links: as many rows as titles, however many pairs."""
+    up: dict[str, str] = {}
+    links: dict[str, int] = {}
+
+    def root(t: str) -> str:
+        while up[t] != t:
+            up[t] = t = up[up[t]]
+        return t
+
+    for a, b, _, _ in pairs:
+        for t in (a, b):
+            up.setdefault(t, t)
+            links[t] = links.get(t, 0) + 1
+        x, y = root(a), root(b)
+        if x != y:
+            up[max(x, y)] = min(x, y)
+    return ((t, root(t), n, 0) for t, n in links.items())
+
+
+def _join(batches: Iterator[pa.RecordBatch], num: int, den: int, classes: bool) -> Iterator[pa.RecordBatch]:
     """Rows arrive sorted by block and part; one block is in memory at a time."""
     now, left, right, out = None, [], [], []
 
-    def done() -> None:
-        if now is not None and left and (right or now[1] == now[2]):
-            out.extend(_join_block(now[0], left, None if now[1] == now[2] else right, num, den))
+    def done() -> Iterator[tuple]:
+        if now is None or not left or not (right or now[1] == now[2]):
+            return iter(())
+        pairs = _join_block(now[0], left, None if now[1] == now[2] else right, num, den)
+        return _classes(pairs) if classes else pairs
+
+    def batches_of(rows: Iterator[tuple]) -> Iterator[pa.RecordBatch]:
+        for row in rows:
+            out.append(row)
+            if len(out) >= 20_000:
+                yield flush()
 
     def flush() -> pa.RecordBatch:
         batch = pa.RecordBatch.from_pylist([dict(zip(_PAIRS.names, r)) for r in out], schema=_PAIRS)
@@ -125,25 +154,25 @@ def _join(batches: Iterator[pa.RecordBatch], num: int, den: int) -> Iterator[pa.
     for batch in batches:
         for block, i, j, part, text, first, words in zip(*(c.to_pylist() for c in batch.columns)):
             if now != (block, i, j):
-                done()
+                yield from batches_of(done())
                 now, left, right = (block, i, j), [], []
-                if len(out) > 20_000:
-                    yield flush()
             (left if part == i else right).append(Member(text, first, frozenset(words)))
-    done()
+    yield from batches_of(done())
     yield flush()
 
 
-def similar_pairs(df: DataFrame, column: str, num: int = 7, den: int = 10, frequent: float = 0.001, block_rows: int = 2000) -> DataFrame:
+def similar_pairs(df: DataFrame, column: str, num: int = 7, den: int = 10, frequent: float = 0.001, block_rows: int = 2000, classes: bool = False) -> DataFrame:
     """All pairs of different values whose word sets have a Jaccard similarity
-    of num / den or more: ``a`` < ``b``, ``shared`` and ``total`` words."""
+    of num / den or more: ``a`` < ``b``, ``shared`` and ``total`` words.  With
+    ``classes``, for each value of a block that has such pairs there, ``a``, the
+    least value ``b`` that they lead to and their number as ``shared``."""
     values = df.select(F.col(f"`{column}`").cast("string").alias("text")).where("text is not null").distinct()
     words = F.array_distinct(F.filter(F.split("text", " "), lambda w: w != ""))
     values = settle(values.withColumn("words", words).where(F.size("words") > 0))
     n = values.count()
-    common = values.select(F.explode("words").alias("word")).groupBy("word").count().where(F.col("count") > max(1, int(frequent * n)))
-    # at most (words of a set) / frequent rows: safe to broadcast
-    marked = values.select("text", "words", F.explode("words").alias("word")).join(F.broadcast(common), "word", "left")
+    # at most (words of a set) / frequent rows; the written table's size is checked all the same
+    common = settle(values.select(F.explode("words").alias("word")).groupBy("word").count().where(F.col("count") > max(1, int(frequent * n))))
+    marked = values.select("text", "words", F.explode("words").alias("word")).join(maybe_broadcast(common), "word", "left")
     order = F.struct(F.coalesce("count", F.lit(0)).alias("n"), F.xxhash64("word").alias("h"), F.col("word"))
     ordered = marked.groupBy("text").agg(F.first("words").alias("words"), F.array_sort(F.collect_list(order)).alias("o"))
     k = F.size("words")
@@ -156,15 +185,18 @@ def similar_pairs(df: DataFrame, column: str, num: int = 7, den: int = 10, frequ
     placed = placed.withColumn("part", part).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
     task = placed.select("block", F.least("part", "other").alias("i"), F.greatest("part", "other").alias("j"), "part", "text", "first", "words")
     task = task.repartition("block", "i", "j").sortWithinPartitions("block", "i", "j")
-    return task.mapInArrow(partial(_join, num=num, den=den), "a string, b string, shared int, total int")
+    return task.mapInArrow(partial(_join, num=num, den=den, classes=classes), "a string, b string, shared int, total int")
 
 
 def groups(df: DataFrame, column: str, num: int = 7, den: int = 10) -> DataFrame:
-    """One row per different value: ``title``, ``class`` (the least value that
+    """Pairs stay inside their block, which gives its members' numbers of links and
+    the least member each leads to, so that rows grow with titles and not pairs.
+    One row per different value: ``title``, ``class`` (the least value that
     links lead to) and ``links``, its number of near-duplicates."""
-    pairs = settle(similar_pairs(df, column, num, den).select("a", "b"))
-    both = pairs.unionByName(pairs.select(F.col("b").alias("a"), F.col("a").alias("b")))
-    links = both.groupBy(F.col("a").alias("title")).agg(F.count("*").cast("int").alias("links"))
+    found = settle(similar_pairs(df, column, num, den, classes=True).select("a", "b", F.col("shared").alias("links")))
+    links = found.groupBy(F.col("a").alias("title")).agg(F.sum("links").cast("int").alias("links"))
+    roots = found.where("a <> b").select("a", "b").distinct()
+    both = settle(roots.unionByName(roots.select(F.col("b").alias("a"), F.col("a").alias("b"))))
     classes = components(both)
     titles = df.select(F.col(f"`{column}`").cast("string").alias("title")).where("trim(title) <> ''").distinct()
     joined = titles.join(classes, "title", "left").join(links, "title", "left")
