@@ -10,6 +10,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
+from scholarlake import config
 from scholarlake.operators import bundle, dedup, graph, providers, recovery, resolve, search
 from scholarlake.sources import readers, writers
 
@@ -61,16 +62,26 @@ def fetch_papers_by_id(spark: SparkSession, ids: str, papers: DataFrame) -> Data
     return graph.fetch_by_id(readers.id_list(spark, ids), papers)
 
 
-def citations_and_references(seeds: DataFrame, edges: DataFrame, **options) -> tuple[DataFrame, DataFrame]:
-    """The edges after the options, and one row per seed."""
-    kept = graph.edges(edges, **options)
+def citations_and_references(seeds: DataFrame, edges: DataFrame, options: dict | None = None, **shorthand) -> tuple[DataFrame, DataFrame]:
+    """The edges after the options (an object, or one by one), and one row per seed."""
+    kept = graph.edges(edges, **config.graph_options(options, **shorthand))
     return kept, graph.per_seed(seeds, edges, kept)
 
 
-def resolve_candidates(answers: DataFrame, order: list[str] | None = None, **weights) -> DataFrame:
-    """Candidates of recorded answers, scored, in rounds, and ranked."""
-    found = resolve.by_url(providers.candidates(answers, order)).withColumn("score", resolve.score(**weights))
-    return resolve.ranked(resolve.rounds(found.withColumn("good", resolve.good_enough())))
+def resolve_candidates(answers: DataFrame, settings: config.Settings | None = None, blocked_hosts: list[str] | None = None) -> DataFrame:
+    """Candidates of recorded answers, scored, in rounds, and ranked; denied hosts come
+    last, and neither they nor those blocked for now end a round."""
+    r = (settings or config.Settings()).resolution
+    trusted = r.trusted_domains or resolve.TRUSTED
+    found = resolve.by_url(providers.candidates(answers, list(r.source_priority) if r.source_priority else None))
+    found = resolve.denied(found, r.denied_hosts).withColumn("score", resolve.score(r.prefer_publisher_version, r.allow_preprints, trusted, r.title_similarity_threshold))
+    good = resolve.good_enough(r.prefer_publisher_version, trusted, r.stop_confidence_threshold, (*r.denied_hosts, *(blocked_hosts or ()))) if r.stop_when_confident else F.lit(False)
+    return resolve.ranked(resolve.rounds(found.withColumn("good", good)))
+
+
+def parse_inputs(spark: SparkSession, value: object) -> DataFrame:
+    """Papers of ids, records, documents or files, with their keys."""
+    return readers.inputs(spark, value)
 
 
 def export_keyword_bundle(papers: DataFrame, path: str, queries: dict[str, str]) -> dict:

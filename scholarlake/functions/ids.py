@@ -58,10 +58,70 @@ def arxiv_any(own: Column, of_doi: Column, of_dblp: Column) -> Column:
     return F.coalesce(arxiv(own), arxiv_of_doi(of_doi), arxiv_of_dblp(of_dblp))
 
 
+def pmcid_digits(c: Column) -> Column:
+    """The digits of a PubMed Central id, with or without its prefix."""
+    return _found(F.trim(c.cast("string")), r"(?i)^(?:PMC)?(\d+)$")
+
+
+def pmcid_of_url(c: Column) -> Column:
+    """The digits of the id that an article's address names."""
+    return _found(c, r"(?i)(?:ncbi\.nlm\.nih\.gov|europepmc\.org)/(?:pmc/)?articles?/PMC(\d+)")
+
+
 def pmcid(c: Column) -> Column:
     """PMC and digits, from an id or an address."""
-    digits = _found(F.upper(blank_to_null(c)), r"(?:PMC|^)(\d{3,9})(?:\D|$)")
-    return F.concat(F.lit("PMC"), digits)
+    return F.concat(F.lit("PMC"), F.coalesce(pmcid_digits(c), pmcid_of_url(c)))
+
+
+def europepmc_landing(digits: Column) -> Column:
+    return F.concat(F.lit("https://europepmc.org/articles/PMC"), digits)
+
+
+def europepmc_file(digits: Column) -> Column:
+    return F.concat(europepmc_landing(digits), F.lit("?pdf=render"))
+
+
+def is_interstitial(final_url: Column, body: Column) -> Column:
+    """Whether the archive sent its page that fetches the file by script."""
+    told = F.lower(F.substring(F.coalesce(body, F.lit("")), 1, 65536)).contains("preparing to download")
+    return F.coalesce(F.lower(final_url).contains("pmc.ncbi.nlm.nih.gov") & told, F.lit(False))
+
+
+def recovery_arxiv(own: Column, doi_: Column, dblp: Column) -> Column:
+    """The arXiv id by which an abstract is asked for: the case of the DOI counts, and
+    the id is taken as it stands after its mark."""
+    of_doi = F.when(doi_.contains("arXiv"), F.element_at(F.split(doi_, r"arXiv\."), -1))
+    of_dblp = F.when(dblp.contains("journals/corr/abs-"), F.replace(F.element_at(F.split(dblp, "abs-"), -1), F.lit("-"), F.lit(".")))
+    return F.coalesce(F.nullif(own, F.lit("")), of_doi, of_dblp)
+
+
+#: Conferences of the open-access archive of computer vision (fixed values).
+CVF_VENUES = ("CVPR", "ICCV", "ECCV", "WACV")
+
+
+def cvf_venue(venue: Column, doi_: Column) -> Column:
+    """The conference named by the venue, else by the DOI (where ECCV has none)."""
+    of_venue = F.coalesce(*[F.when(F.upper(venue).contains(v), v) for v in CVF_VENUES])
+    return F.coalesce(of_venue, *[F.when(F.upper(doi_).contains(v), v) for v in CVF_VENUES if v != "ECCV"])
+
+
+def cvf_year(year: Column, doi_: Column) -> Column:
+    """The year, else the one that the DOI names before its last number."""
+    return F.coalesce(F.nullif(year, F.lit(0)), _found(doi_, r"\.\b(20\d{2})\.\d+$").cast("int"))
+
+
+def cvf_index(venue: Column, year: Column) -> Column:
+    return F.concat(F.lit("https://openaccess.thecvf.com/"), venue, year.cast("string"), F.lit("?day=all"))
+
+
+def file_component(c: Column, most: int = 180) -> Column:
+    """A component of a path: as ``safe``, trimmed and of limited length."""
+    return F.substring(safe(F.trim(c)), 1, most)
+
+
+def graph_file(c: Column) -> Column:
+    """An id as a file name on any platform: each troublesome sign is a ``_``."""
+    return F.translate(c, ':/\\?*<>|"', "_________")
 
 
 def safe(c: Column) -> Column:

@@ -43,6 +43,11 @@ def match_title(c: Column) -> Column:
     return collapse(F.regexp_replace(F.lower(F.coalesce(F.trim(c), F.lit(""))), f"[^a-z0-9{SPACES}]+", " "))
 
 
+def recovery_title(c: Column) -> Column:
+    """Key of the titles of recovered abstracts: signs are deleted, blanks stay."""
+    return F.trim(F.regexp_replace(F.lower(c), f"[^a-z0-9{SPACES}]", ""))
+
+
 def clean_abstract(c: Column, least: int = MIN_ABSTRACT) -> Column:
     """No tags, single blanks, no leading label; null below ``least`` characters."""
     text = collapse(F.regexp_replace(c, "<[^>]+>", " "))

@@ -20,7 +20,13 @@ PREPRINT_DOMAINS = ("arxiv.org", "biorxiv.org", "medrxiv.org", "chemrxiv.org", "
 PUBLISHER_DOMAINS = ("aclanthology.org", "openaccess.thecvf.com", "dl.acm.org", "ieeexplore.ieee.org", "link.springer.com", "nature.com", "sciencedirect.com", "tandfonline.com", "wiley.com", "onlinelibrary.wiley.com", "oup.com", "academic.oup.com", "cambridge.org", "journals.sagepub.com", "mdpi.com", "frontiersin.org", "plos.org", "journals.plos.org", "bmj.com", "jamanetwork.com", "ahajournals.org")
 REPOSITORY_DOMAINS = ("pmc.ncbi.nlm.nih.gov", "europepmc.org", "zenodo.org", "core.ac.uk", "hal.science", "hal.archives-ouvertes.fr", "research-repository.uwa.edu.au")
 #: Parts of addresses of test systems (fixed values).
-STAGING = r"staging|sandbox|localhost|//test\.|//dev\.|\.test\.|\.dev\."
+STAGING = ("staging.", "xplorestaging.", "test.", "sandbox.", "dev.", "qa.")
+#: Kind of host and version of its files, by the kind of domain.
+_KINDS = {PREPRINT_DOMAINS: ("preprint", "preprint"), PUBLISHER_DOMAINS: ("publisher", "publisher"), REPOSITORY_DOMAINS: ("repository", "accepted")}
+#: Headers in which a publisher's host says what it sent, and the values that say that
+#: it is not the whole article (fixed values).
+ENTITLEMENT_HEADERS = {"api.elsevier.com": ("X-ELS-Status", "X-ELS-ResourceVersion", "X-ELS-Entitlement")}
+NOT_ENTITLED = ("firstpage", "first_page", "first page", "preview", "unentitled", "not entitled")
 
 
 def domain(url: Column) -> Column:
@@ -60,28 +66,56 @@ def publisher_of_url(url: Column) -> Column:
     return out.otherwise("Unknown")
 
 
+def _by_domain(domain_: Column, which: int, fallback: str) -> Column:
+    table = F.create_map(*[F.lit(x) for domains, kinds in _KINDS.items() for d in domains for x in (d, kinds[which])])
+    return F.coalesce(F.try_element_at(table, domain_), F.lit(fallback))
+
+
 def host_type(domain_: Column) -> Column:
-    return F.when(domain_.isin(*PREPRINT_DOMAINS), "preprint").when(domain_.isin(*PUBLISHER_DOMAINS), "publisher").when(domain_.isin(*REPOSITORY_DOMAINS), "repository").otherwise("unknown")
+    return _by_domain(domain_, 0, "unknown")
 
 
 def version_type(domain_: Column, fallback: str = "unknown") -> Column:
-    return F.when(domain_.isin(*PREPRINT_DOMAINS), "preprint").when(domain_.isin(*PUBLISHER_DOMAINS), "publisher").when(domain_.isin(*REPOSITORY_DOMAINS), "accepted").otherwise(fallback)
+    return _by_domain(domain_, 1, fallback)
 
 
 def open_version(v: Column) -> Column:
     """Version names of open-access indexes in our terms."""
-    low = F.lower(v)
-    return F.when(low.contains("published"), "publisher").when(low.contains("accepted"), "accepted").when(low.contains("submitted"), "preprint").otherwise(F.coalesce(low, F.lit("unknown")))
+    names = {"publishedversion": "publisher", "acceptedversion": "accepted", "submittedversion": "preprint"}
+    table = F.create_map(*[F.lit(x) for kv in names.items() for x in kv])
+    return F.coalesce(F.try_element_at(table, F.lower(v)), F.nullif(v, F.lit("")), F.lit("unknown"))
 
 
 def link_version(v: Column) -> Column:
     """Version names of registration agencies in our terms."""
     low = F.lower(v)
-    return F.when(low.isin("vor", "tdm"), "publisher").when(low == "am", "accepted").otherwise("unknown")
+    return F.when(low.isin("vor", "tdm"), "publisher").when(low == "am", "accepted").when(low.isin("preprint", "submitted"), "preprint").otherwise("unknown")
 
 
 def is_staging(url: Column) -> Column:
-    return F.coalesce(F.lower(url).rlike(STAGING), F.lit(False))
+    low, found = F.lower(url), F.lit(False)
+    for part in STAGING:
+        found = found | low.contains(part)
+    return F.coalesce(found, F.lit(False))
+
+
+def preview_header(host_: Column, headers: Column) -> Column:
+    """The header by which a host says that it sent less than the whole article, as
+    ``name: value``; null where nothing says so."""
+    named = F.transform_keys(headers, lambda k, v: F.lower(k))
+    out = F.lit(None).cast("string")
+    for where, names in reversed(ENTITLEMENT_HEADERS.items()):
+        for name in reversed(names):
+            value = F.trim(F.try_element_at(named, F.lit(name.lower())))
+            told = F.exists(F.array(*[F.lit(x) for x in NOT_ENTITLED]), lambda x, v=value: F.lower(v).contains(x))
+            out = F.when(under(host_, (where,)) & F.coalesce(told, F.lit(False)), F.concat(F.lit(f"{name}: "), value)).otherwise(out)
+    return out
+
+
+def unwrapped(url: Column) -> Column:
+    """The address that a search engine's redirect leads to; others as they are."""
+    to = F.regexp_extract(url, r"[?&]uddg=([^&#]+)", 1)
+    return F.when(domain(url).contains("duckduckgo.com") & (to != ""), F.url_decode(to)).otherwise(url)
 
 
 def is_pdf_url(url: Column) -> Column:

@@ -46,8 +46,11 @@ def memberships(papers: DataFrame) -> DataFrame:
 def with_memberships(papers: DataFrame, found: DataFrame) -> DataFrame:
     """Each paper with its categories; its own one if none is known."""
     key = blank_to_null(F.col("paperId"))
-    joined = papers.withColumn("__k", key).join(found.select(F.col("paperId").alias("__k"), "matched"), "__k", "left").drop("__k")
-    return joined.withColumn("matched", F.coalesce("matched", F.array("cat")))
+    named = papers.where(key.isNotNull()).withColumn("__k", key)
+    joined = named.join(found.select(F.col("paperId").alias("__k"), "matched"), "__k", "left").drop("__k")
+    joined = joined.withColumn("matched", F.coalesce("matched", F.array("cat")))
+    # rows without an id match nothing and stay out of the join
+    return joined.unionByName(papers.where(key.isNull()).withColumn("matched", F.array("cat")))
 
 
 def _citations() -> Column:
@@ -106,6 +109,7 @@ def merged_memberships(papers: DataFrame, found: DataFrame, across: bool = True)
 
 def id_report(papers: DataFrame) -> DataFrame:
     """Per category and in total: raw, intra_dupes, after_intra, inter_removed, final_unique."""
+    papers = papers.select("cat", "cat_pos", "pos", "paperId")
     within = by_id_within(papers)
     counts = [papers.groupBy("cat").agg(F.count("*").alias("raw")), within.groupBy("cat").agg(F.count("*").alias("after_intra")), by_id_across(within).groupBy("cat").agg(F.count("*").alias("final_unique"))]
     return _report(counts, "raw", "intra_dupes", "after_intra", "final_unique")
@@ -113,6 +117,7 @@ def id_report(papers: DataFrame) -> DataFrame:
 
 def title_report(papers: DataFrame) -> DataFrame:
     """Per category and in total: input, intra_removed, after_intra, inter_removed, final_unique."""
+    papers = papers.select("cat", "cat_pos", "pos", "title", "citationCount")
     within = by_title(papers).select(*papers.columns)
     across = by_title(within, across=True)
     counts = [papers.groupBy("cat").agg(F.count("*").alias("input")), within.groupBy("cat").agg(F.count("*").alias("after_intra")), across.groupBy(F.col("owner").alias("cat")).agg(F.count("*").alias("final_unique"))]

@@ -6,18 +6,19 @@ from pyspark.sql import DataFrame, Window, functions as F
 
 from scholarlake.functions import ids
 
-#: Edges of one seed and endpoint that the source can give (fixed value).
+#: Edges of one seed and endpoint that the remote service can page through (fixed
+#: value): so many recorded ones are a sign of more.  All that are recorded are kept.
 CEILING = 9_999
 
 
 def edges(raw: DataFrame, influential_only: bool = False, max_results: int | None = None, since: str | None = None, until: str | None = None) -> DataFrame:
     """Edges (``seed edge_type pos is_influential publication_date``) after the
-    options; the date range holds for citations only, open at either end.  A
-    limit counts in order of ``pos`` within seed and endpoint."""
+    options; the date range holds for citations only, open at either end.  A limit,
+    where one is given, counts in order of ``pos`` within seed and endpoint."""
     out = raw
-    if max_results is not None or True:
+    if max_results is not None:
         w = Window.partitionBy("seed", "edge_type").orderBy("pos")
-        out = out.withColumn("nth", F.row_number().over(w)).where(F.col("nth") <= min(max_results or CEILING, CEILING))
+        out = out.withColumn("nth", F.row_number().over(w)).where(F.col("nth") <= max_results)
     if influential_only:
         out = out.where(F.coalesce("is_influential", F.lit(False)))
     date = F.col("publication_date")
@@ -40,6 +41,19 @@ def per_seed(seeds: DataFrame, raw: DataFrame, kept: DataFrame) -> DataFrame:
     return joined.withColumns({"citations_truncated": F.col("raw_citations") >= CEILING, "references_truncated": F.col("raw_references") >= CEILING})
 
 
+def seed_errors(seeds: DataFrame) -> DataFrame:
+    """Seeds (``raw``) with their canonical id as ``seed``, and ``error`` for those
+    that have none; these stay as rows."""
+    canonical = ids.graph_id(F.col("raw"))
+    return seeds.select("*", canonical.alias("seed"), ids.id_error(F.col("raw"), canonical).alias("error"))
+
+
+def outcomes(seeds: DataFrame) -> DataFrame:
+    """Endpoints that failed (``citations_error``, ``references_error``) over seeds."""
+    c, r = F.col("citations_error").isNotNull(), F.col("references_error").isNotNull()
+    return seeds.agg(F.count_if(c).alias("citations_failed"), F.count_if(r).alias("references_failed"), F.count_if(c & r).alias("both_failed"), F.count_if(~c & ~r).alias("both_success"))
+
+
 def summary(seeds: DataFrame) -> DataFrame:
     """Counters over all seeds, from ``per_seed``."""
     c, r = F.col("citations"), F.col("references")

@@ -52,6 +52,25 @@ def rate_slots(arrivals: DataFrame, interval: Column) -> DataFrame:
     return numbered.withColumn("start", F.round(F.col("nth") + lag, 6)).withColumn("wait", F.round(F.col("start") - F.col("at"), 6)).drop("nth")
 
 
+#: Seconds for which a bot wall keeps a host off; it does not climb the ladder (fixed value).
+CHALLENGE_SECONDS = 3600
+
+
+def block_states(ladder: DataFrame, challenges: DataFrame, denied: list[str], as_of: Column, since: Column | None = None) -> DataFrame:
+    """Hosts that are off at a time and why: denied, else challenge, else refusal,
+    until when, and from when on the block has stood; with ``since`` only those blocked
+    from then on.  ``challenges`` holds ``host at``."""
+    refused = ladder.where(F.col("at") <= as_of).groupBy("host").agg(F.max("blocked_until").alias("until"), F.max_by("at", F.when(F.col("newly"), F.col("at"))).alias("blocked_at"))
+    walled = challenges.where(F.col("at") <= as_of).groupBy("host").agg((F.max("at") + CHALLENGE_SECONDS).alias("until"), F.max("at").alias("blocked_at"))
+    both = refused.select("host", "until", "blocked_at", F.lit(2).alias("o")).unionByName(walled.select("host", "until", "blocked_at", F.lit(1).alias("o"))).where(F.col("until") > as_of)
+    off = urls.under(F.col("host"), denied) if denied else F.lit(False)
+    both = both.withColumn("o", F.when(off, 0).otherwise(F.col("o")))
+    first = both.groupBy("host").agg(F.min_by(F.struct("o", "until", "blocked_at"), "o").alias("b"))
+    state = F.element_at(F.array(F.lit("denied"), F.lit("challenge"), F.lit("refusal")), F.col("b.o") + 1)
+    out = first.select("host", state.alias("state"), F.col("b.until").alias("until"), F.col("b.blocked_at").alias("blocked_at"))
+    return out if since is None else out.where(F.col("blocked_at") >= since)
+
+
 def blocked(ladder: DataFrame, as_of: Column) -> DataFrame:
     """The hosts that are blocked at a time."""
     return ladder.where(F.col("at") <= as_of).groupBy("host").agg(F.max("blocked_until").alias("blocked_until")).where(F.col("blocked_until") > as_of)

@@ -12,15 +12,17 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from scholarlake.functions import urls
+from scholarlake.functions import ids, urls
 from scholarlake.functions.text import blank_to_null
 
 COLUMNS = ("paper_key", "provider", "provider_rank", "cand_pos", "pdf_url", "landing_page_url", "domain", "version_type", "host_type", "license", "confidence", "is_direct_pdf", "title_match_score", "fallback_only", "asserts_open_access")
 #: Confidence of a provider's exact and title hits (fixed values).
 CONFIDENCE = {"metadata_open_access": (0.85, 0.55), "arxiv": (0.92, 0.80), "acl": (0.97, 0.97), "cvf": (0.90, 0.90), "openalex": (0.95, 0.74), "unpaywall": (0.88, 0.68), "europepmc": (0.87, 0.67), "crossref": (0.82, 0.60), "core": (0.80, 0.65), "zenodo": (0.78, 0.60), "doaj": (0.82, 0.62), "wiley": (0.93, 0.93), "elsevier": (0.93, 0.93), "broad_search": (0.62, 0.62), "openalex_content": (0.88, 0.88), "publisher_landing": (0.50, 0.50)}
 #: Prefixes of DOIs whose publisher serves files by DOI (fixed values).
-WILEY_PREFIXES = ("10.1002", "10.1111", "10.1113", "10.1029", "10.1049", "10.1155", "10.1046")
-ELSEVIER_PREFIXES = ("10.1016", "10.1053", "10.1054", "10.1067", "10.1078", "10.1006", "10.1010")
+WILEY_PREFIXES = ("10.1002/", "10.1111/", "10.1155/", "10.1046/", "10.1034/", "10.1029/", "10.1113/")
+ELSEVIER_PREFIXES = ("10.1016/", "10.1053/", "10.1067/", "10.1078/", "10.1006/", "10.1054/", "10.5555/")
+#: Kinds of places of an index, as kinds of hosts (fixed values).
+PLACES = {"repository": "repository", "journal": "publisher", "conference": "publisher", "book series": "publisher", "ebook platform": "publisher"}
 
 
 def _row(provider: str, url: Column, *, landing: Column | None = None, version: Column | str = "unknown", kind: Column | str | None = None, license: Column | None = None, confidence: Column | None = None, direct: Column | bool = True, fallback: bool = False, open_: Column | bool = False) -> Column:
@@ -42,10 +44,40 @@ _OA_LOCATION = "struct<pdf_url:string,landing_page_url:string,version:string,lic
 
 
 def _openalex() -> Column:
-    work = _json(f"best_oa_location {_OA_LOCATION}, primary_location {_OA_LOCATION}, locations array<{_OA_LOCATION}>, open_access struct<is_oa:boolean>")
-    places = F.filter(F.concat(F.array(work["best_oa_location"], work["primary_location"]), F.coalesce(work["locations"], F.array().cast(f"array<{_OA_LOCATION}>"))), lambda x: x["pdf_url"].isNotNull() | x["landing_page_url"].isNotNull())
-    usable = F.filter(places, lambda x: x["pdf_url"].isNotNull() | ~F.coalesce(urls.domain(x["landing_page_url"]).isin("doi.org", "dx.doi.org"), F.lit(True)))
-    return F.transform(usable, lambda x: _row("openalex", blank_to_null(F.coalesce(x["pdf_url"], x["landing_page_url"])), landing=x["landing_page_url"], version=urls.open_version(x["version"]), license=x["license"], direct=x["pdf_url"].isNotNull(), confidence=F.when(x["pdf_url"].isNotNull(), F.when(F.col("exact"), 0.95).otherwise(0.74)).otherwise(F.when(F.col("exact"), 0.60).otherwise(0.45)), open_=F.coalesce(x["is_oa"], work["open_access"]["is_oa"], F.lit(False))))
+    """The archive's copy first, then the best, the primary and all other places;
+    a place in the archive stands for its mirror, and a landing page counts less."""
+    work = _json(f"ids struct<pmcid:string>, best_oa_location {_OA_LOCATION}, primary_location {_OA_LOCATION}, locations array<{_OA_LOCATION}>, open_access struct<is_oa:boolean,oa_url:string>")
+    whole = F.when(F.col("exact"), 0.95).otherwise(0.74)
+    none = F.lit(None).cast("string")
+
+    def mirror(digits: Column) -> Column:
+        return _row("openalex", ids.europepmc_file(digits), landing=ids.europepmc_landing(digits), version="accepted", kind="repository", confidence=whole, open_=True)
+
+    def place(x: Column) -> Column:
+        oa_url = work["open_access"]["oa_url"]
+        file = F.coalesce(blank_to_null(x["pdf_url"]), F.when(F.lower(oa_url).endswith(".pdf"), oa_url))
+        landing = blank_to_null(x["landing_page_url"])
+        archived = F.coalesce(ids.pmcid_of_url(file), ids.pmcid_of_url(landing))
+        site = urls.domain(F.coalesce(file, landing))
+        table = F.create_map(*[F.lit(v) for kv in PLACES.items() for v in kv])
+        kind = F.coalesce(F.try_element_at(table, F.lower(F.trim(x["source"]["type"]))), urls.host_type(site))
+        version = urls.open_version(x["version"])
+        version = F.when((version == "unknown") & (kind == "publisher"), "publisher").otherwise(version)
+        usable = F.when(file.isNotNull(), file).when(~F.coalesce(urls.domain(landing).isin("doi.org", "dx.doi.org"), F.lit(False)), landing)
+        confidence = F.when(file.isNotNull(), whole).when(F.col("exact"), 0.60).otherwise(0.45)
+        own = _row("openalex", usable, landing=landing, version=version, kind=kind, license=x["license"], confidence=confidence, direct=file.isNotNull(), open_=F.coalesce(x["is_oa"], work["open_access"]["is_oa"], F.lit(False)))
+        return F.when(archived.isNotNull(), mirror(archived)).otherwise(own)
+
+    known = F.coalesce(ids.pmcid_of_url(work["ids"]["pmcid"]), ids.pmcid_digits(work["ids"]["pmcid"]))
+    places = F.filter(F.concat(F.array(work["best_oa_location"], work["primary_location"]), F.coalesce(work["locations"], F.array().cast(f"array<{_OA_LOCATION}>"))), lambda x: x.isNotNull())
+    first = F.when(known.isNotNull(), F.array(mirror(F.coalesce(known, none)))).otherwise(F.slice(F.array(mirror(none)), 1, 0))
+    return _first_of_each(F.concat(first, F.transform(places, place)))
+
+
+def _first_of_each(found: Column) -> Column:
+    """Of the candidates of one answer the first of each address."""
+    found = F.filter(found, lambda x: x["pdf_url"].isNotNull())
+    return F.filter(found, lambda x, i: F.array_position(F.transform(found, lambda y: y["pdf_url"]), x["pdf_url"]) == i + 1)
 
 
 def _unpaywall() -> Column:
@@ -59,12 +91,13 @@ def _unpaywall() -> Column:
 def _europepmc() -> Column:
     hits = _json("resultList struct<result:array<struct<pmcid:string,isOpenAccess:string,inEPMC:string,hasPDF:string,license:string>>>")["resultList"]["result"]
     usable = F.filter(hits, lambda x: (F.upper(x["inEPMC"]) == "Y") & (F.upper(x["hasPDF"]) == "Y") & x["pmcid"].isNotNull())
-    return F.transform(usable, lambda x: _row("europepmc", F.concat(F.lit("https://europepmc.org/articles/"), x["pmcid"], F.lit("?pdf=render")), landing=F.concat(F.lit("https://europepmc.org/articles/"), x["pmcid"]), version=F.when(F.upper(x["isOpenAccess"]) == "Y", "publisher").otherwise("accepted"), kind="repository", license=x["license"], open_=True))
+    return F.transform(usable, lambda x: _row("europepmc", ids.europepmc_file(ids.pmcid_digits(x["pmcid"])), landing=ids.europepmc_landing(ids.pmcid_digits(x["pmcid"])), version=F.when(F.upper(x["isOpenAccess"]) == "Y", "publisher").otherwise("accepted"), kind="repository", license=x["license"], open_=True))
 
 
 def _crossref() -> Column:
     links = _json("message struct<link:array<struct<URL:string,`content-type`:string,`content-version`:string,`intended-application`:string>>>")["message"]["link"]
-    usable = F.filter(links, lambda x: x["URL"].isNotNull() & (F.coalesce(F.lower(x["content-type"]).contains("pdf"), F.lit(False)) | urls.is_pdf_url(x["URL"])) & (F.coalesce(F.lower(x["intended-application"]), F.lit("")) != "similarity-checking") & ~urls.is_staging(x["URL"]))
+    is_pdf = lambda x: F.coalesce(F.lower(x["content-type"]).contains("pdf"), F.lit(False)) | F.lower(x["URL"]).endswith(".pdf")
+    usable = F.filter(links, lambda x: x["URL"].isNotNull() & is_pdf(x) & (F.coalesce(F.lower(x["intended-application"]), F.lit("")) != "similarity-checking") & ~urls.is_staging(x["URL"]))
     return F.transform(usable, lambda x: _row("crossref", x["URL"], version=urls.link_version(x["content-version"])))
 
 
@@ -76,12 +109,20 @@ def _core() -> Column:
 
 
 def _zenodo() -> Column:
-    file = "struct<key:string,size:bigint,links:struct<self:string>>"
-    hits = _json(f"hits struct<hits:array<struct<metadata:struct<access_right:string,resource_type:struct<type:string>,license:struct<id:string>>,files:array<{file}>>>>")["hits"]["hits"]
-    pdfs = lambda x: F.filter(x["files"], lambda f: F.lower(f["key"]).endswith(".pdf"))
-    # the largest PDF of a deposit is the paper
-    largest = lambda x: F.array_max(F.transform(pdfs(x), lambda f: F.struct(F.coalesce(f["size"], F.lit(0)).alias("s"), f["links"]["self"].alias("u"))))["u"]
-    usable = F.filter(hits, lambda x: (x["metadata"]["access_right"] == "open") & largest(x).isNotNull())
+    """Open deposits of publications, preprints or of no stated type, and of any type
+    where a PDF is among the files; the largest PDF of a deposit is the paper."""
+    file = "struct<key:string,size:bigint,links:struct<self:string,download:string>>"
+    metadata = "struct<access_right:string,resource_type:struct<id:string,type:string>,license:struct<id:string>>"
+    hits = _json(f"hits struct<hits:array<struct<metadata:{metadata},access:struct<files:string>,files:array<{file}>>>>")["hits"]["hits"]
+
+    def largest(x: Column) -> Column:
+        pdfs = F.filter(x["files"], lambda f: F.lower(f["key"]).endswith(".pdf"))
+        # of equals the first
+        ordered = F.array_sort(F.transform(pdfs, lambda f, i: F.struct((-F.coalesce(f["size"], F.lit(0))).alias("s"), i.alias("i"), F.coalesce(f["links"]["self"], f["links"]["download"]).alias("u"))))
+        return F.get(ordered, 0)["u"]
+
+    is_open = lambda x: F.coalesce(F.lower(x["access"]["files"]) == "public", F.lit(False)) | F.coalesce(F.lower(x["metadata"]["access_right"]) == "open", F.lit(False))
+    usable = F.filter(hits, lambda x: is_open(x) & largest(x).isNotNull())
     return F.transform(usable, lambda x: _row("zenodo", largest(x), version="accepted", kind="repository", license=x["metadata"]["license"]["id"]))
 
 
@@ -102,17 +143,18 @@ def _acl() -> Column:
 
 def _own() -> Column:
     u = blank_to_null(F.col("open_url"))
-    pmc = F.regexp_extract(u, r"(PMC\d+)", 1)
-    url = F.when(pmc != "", F.concat(F.lit("https://europepmc.org/articles/"), pmc, F.lit("?pdf=render"))).otherwise(u)
+    digits = ids.pmcid_of_url(u)
+    pmc = F.coalesce(digits, F.lit(""))
+    url = F.when(pmc != "", ids.europepmc_file(digits)).otherwise(u)
     known = u.isNotNull() & ~F.coalesce(urls.domain(u).isin("doi.org", "dx.doi.org"), F.lit(False))
     direct = (pmc != "") | urls.is_pdf_url(u) | urls.under(urls.host(u), ("arxiv.org",))
     return F.filter(F.array(_row("metadata_open_access", F.when(known, url), version=F.when(pmc != "", "accepted").otherwise(urls.version_type(urls.domain(u))), kind=F.when(pmc != "", "repository").otherwise(urls.host_type(urls.domain(u))), direct=direct, confidence=F.when(direct, 0.85).otherwise(0.55), open_=pmc != "")), lambda x: x["pdf_url"].isNotNull())
 
 
 def _by_prefix(provider: str, base: str, prefixes: tuple[str, ...], keep_slash: bool) -> Column:
-    path = F.url_encode("doi")
+    path = F.replace(F.url_encode(F.trim("doi")), F.lit("+"), F.lit("%20"))
     path = F.replace(path, F.lit("%2F"), F.lit("/")) if keep_slash else path
-    mine = F.substring_index("doi", "/", 1).isin(*prefixes)
+    mine = F.concat(F.substring_index(F.lower(F.trim("doi")), "/", 1), F.lit("/")).isin(*prefixes)
     return F.filter(F.array(_row(provider, F.when(mine, F.concat(F.lit(base), path)), version="publisher", kind="publisher")), lambda x: x["pdf_url"].isNotNull())
 
 
@@ -139,17 +181,38 @@ PROVIDERS: dict[str, Callable[[], Column]] = {
 }
 
 
-def candidates(rows: DataFrame, order: list[str] | None = None) -> DataFrame:
+def hit_verdict(ours: dict[str, Column], theirs: dict[str, Column], score: Column, threshold: float = 0.90) -> Column:
+    """Why a preprint found by title is not the paper, null if it is: the title first,
+    then surnames (two in common, one for a single author), then the year (two before
+    to one after).  ``ours`` and ``theirs`` hold ``authors`` and ``year``."""
+    many = F.coalesce(F.size(ours["authors"]), F.lit(0))
+    shared = ids.surname_overlap(ours["authors"], theirs["authors"])
+    need = F.when(many == 1, 1).otherwise(2)
+    gap = theirs["year"] - ours["year"]
+    return (
+        F.when(F.coalesce(score, F.lit(0.0)) < threshold, F.format_string("title similarity %.2f < %.2f", F.coalesce(score, F.lit(0.0)), F.lit(threshold)))
+        .when((many > 0) & (shared < need), F.format_string("%d author surname(s) in common, need %d", shared, need))
+        .when(~gap.between(-2, 1), F.format_string("published %d, paper is %d", theirs["year"], ours["year"]))
+    )
+
+
+def candidates(rows: DataFrame, order: list[str] | None = None, keyed: bool = True) -> DataFrame:
     """Candidates of all rows (``paper_key provider payload exact
     title_match_score doi arxiv_id acl_id open_url hit_pos``), for the providers
-    that ``order`` names; unknown names are an error."""
-    order = list(PROVIDERS) if order is None else order
-    unknown = [p for p in order if p not in PROVIDERS]
-    if unknown or not order:
-        raise ValueError(f"no providers: {unknown}")
-    out = None
-    for rank, name in enumerate(order, 1):
-        found = rows.where(F.col("provider") == name).select("paper_key", "hit_pos", F.posexplode(PROVIDERS[name]()).alias("i", "c"))
-        found = found.select("paper_key", F.lit(rank).alias("provider_rank"), (F.col("hit_pos") * 1000 + F.col("i")).alias("cand_pos"), "c.*").where("pdf_url is not null").select(*COLUMNS)
-        out = found if out is None else out.unionByName(found)
-    return out
+    that ``order`` names, in its order; names of no provider are left out, and none
+    at all is an error.  Without ``keyed``, publishers' services that need a key
+    give nothing."""
+    order = [p for p in (PROVIDERS if order is None else order) if p in PROVIDERS]
+    if not order:
+        raise ValueError("the order names no provider")
+    if not keyed:
+        rows = rows.where(~F.col("provider").isin("wiley", "elsevier"))
+    # one pass over the answers, whatever the number of providers
+    made, rank = None, {}
+    for n, name in enumerate(order, 1):
+        mine = F.col("provider") == name
+        made = F.when(mine, PROVIDERS[name]()) if made is None else made.when(mine, PROVIDERS[name]())
+        rank.setdefault(name, n)
+    ranks = F.create_map(*[F.lit(x) for kv in rank.items() for x in kv])
+    found = rows.where(F.col("provider").isin(*rank)).select("paper_key", "hit_pos", F.try_element_at(ranks, F.col("provider")).alias("provider_rank"), F.posexplode(made).alias("i", "c"))
+    return found.select("paper_key", "provider_rank", (F.col("hit_pos") * 1000 + F.col("i")).alias("cand_pos"), "c.*").where("pdf_url is not null").select(*COLUMNS)

@@ -12,7 +12,34 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from scholarlake.functions import urls
 
 #: Domains whose files are trusted (fixed values; a parameter where used).
-TRUSTED = ("arxiv.org", "aclanthology.org", "openaccess.thecvf.com", "europepmc.org", "zenodo.org", "core.ac.uk", "nature.com", "plos.org", "mdpi.com", "frontiersin.org")
+TRUSTED = (
+    "arxiv.org",
+    "biorxiv.org",
+    "medrxiv.org",
+    "aclanthology.org",
+    "openaccess.thecvf.com",
+    "api.openalex.org",
+    "content.openalex.org",
+    "api.wiley.com",
+    "api.elsevier.com",
+    "doi.org",
+    "dl.acm.org",
+    "ieeexplore.ieee.org",
+    "link.springer.com",
+    "nature.com",
+    "sciencedirect.com",
+    "pmc.ncbi.nlm.nih.gov",
+    "europepmc.org",
+    "zenodo.org",
+    "doaj.org",
+    "osf.io",
+    "hal.science",
+    "ssrn.com",
+    "core.ac.uk",
+    "mdpi.com",
+    "frontiersin.org",
+    "journals.plos.org",
+)
 THRESHOLD = 0.90
 GOOD = 0.75
 
@@ -26,14 +53,23 @@ def score(prefer_publisher: bool = True, allow_preprints: bool = True, trusted:
         F.when(version == "publisher", 0.30 if prefer_publisher else 0.15).when(version == "accepted", 0.20).when(version == "preprint", 0.10 if allow_preprints else -1.00).otherwise(0.0),
         F.when(kind == "publisher", 0.10).when(kind == "repository", 0.05).otherwise(0.0),
         F.when(title.isNull(), 0.0).when(title >= threshold, 0.10).otherwise(-0.20),
-        F.greatest(F.lit(0.0), F.least(F.lit(1.0), F.col("confidence"))) * 0.10,
+        F.greatest(F.lit(0.0), F.least(F.lit(1.0), F.coalesce("confidence", F.lit(0.0)))) * 0.10,
     )
     return F.round(sum(parts[1:], parts[0]), 6)
 
 
-def good_enough(prefer_publisher: bool = True, trusted: tuple[str, ...] = TRUSTED, least: float = GOOD) -> Column:
-    """Whether a scored candidate allows to stop asking."""
-    ok = ~F.col("fallback_only") & F.col("is_direct_pdf") & (F.col("score") >= least) & urls.under(F.lower("domain"), trusted)
+def denied(candidates: DataFrame, hosts: list[str] | tuple[str, ...]) -> DataFrame:
+    """Candidates of a denied host stay, as a last resort (``fallback_only``)."""
+    if not hosts:
+        return candidates
+    return candidates.withColumn("fallback_only", F.coalesce("fallback_only", F.lit(False)) | urls.under(urls.host(F.col("pdf_url")), hosts))
+
+
+def good_enough(prefer_publisher: bool = True, trusted: tuple[str, ...] = TRUSTED, least: float = GOOD, avoided: list[str] | tuple[str, ...] = ()) -> Column:
+    """Whether a scored candidate allows to stop asking; one on an ``avoided`` host,
+    denied or blocked for now, never does, as it will fail without a request."""
+    ok = ~urls.under(urls.host(F.col("pdf_url")), avoided) if avoided else F.lit(True)
+    ok = ok & ~F.col("fallback_only") & F.col("is_direct_pdf") & (F.col("score") >= least) & urls.under(F.lower("domain"), trusted)
     return F.coalesce(ok & (F.col("version_type") == "publisher") if prefer_publisher else ok, F.lit(False))
 
 
@@ -48,11 +84,14 @@ def by_url(candidates: DataFrame) -> DataFrame:
 
 def rounds(candidates: DataFrame) -> DataFrame:
     """The round in which each candidate is asked for: a round ends with the
-    first provider that gives a good-enough candidate (column ``good``)."""
-    providers = candidates.groupBy("paper_key", "provider_rank").agg(F.max("good").alias("any_good"))
-    w = Window.partitionBy("paper_key").orderBy("provider_rank").rowsBetween(Window.unboundedPreceding, -1)
-    numbered = providers.withColumn("round", (F.lit(1) + F.coalesce(F.sum(F.col("any_good").cast("int")).over(w), F.lit(0))).cast("int"))
-    return candidates.join(numbered.select("paper_key", "provider_rank", "round"), ["paper_key", "provider_rank"])
+    first provider that gives a good-enough candidate (column ``good``).  Windows of
+    one paper, which share a shuffle with those of ``ranked``."""
+    of_provider = Window.partitionBy("paper_key", "provider_rank")
+    first = F.row_number().over(of_provider.orderBy(F.col("good").desc_nulls_last())) == 1
+    ends = F.when(first & F.coalesce("good", F.lit(False)), 1).otherwise(0)
+    before = Window.partitionBy("paper_key").orderBy("provider_rank").rangeBetween(Window.unboundedPreceding, -1)
+    out = candidates.repartition("paper_key").withColumn("__ends", ends)
+    return out.withColumn("round", (F.lit(1) + F.coalesce(F.sum("__ends").over(before), F.lit(0))).cast("int")).drop("__ends")
 
 
 def ranked(candidates: DataFrame, top: int | None = None) -> DataFrame:

@@ -53,22 +53,27 @@ class _Parser:
 
 
 def matches(query: str, *columns: Column) -> Column:
-    """Whether the texts together satisfy the query, whatever the case; words
-    and phrases match at word starts, and a trailing * matches any ending."""
-    text = F.lower(F.concat_ws(" \n ", *columns))
+    """Whether the texts satisfy the query, whatever the case; each word or phrase
+    must stand in one of them.  Both match at word starts, and a trailing * matches
+    any ending."""
+    texts = [F.lower(c) for c in columns]
 
     def leaf(term: str) -> Column:
         open_ = term.endswith("*")
         words = [re.escape(w) for w in term.rstrip("*").lower().split()]
         if not words:
             return F.lit(True)
-        return text.rlike(r"(^|[^\p{L}\p{N}])" + r"[^\p{L}\p{N}]+".join(words) + ("" if open_ else r"($|[^\p{L}\p{N}])"))
+        pattern = r"(^|[^\p{L}\p{N}])" + r"[^\p{L}\p{N}]+".join(words) + ("" if open_ else r"($|[^\p{L}\p{N}])")
+        found = F.lit(False)
+        for text in texts:
+            found = found | F.coalesce(text.rlike(pattern), F.lit(False))
+        return found
 
     parser = _Parser(query)
     found = parser.either(leaf)
     if parser.peek() is not None:
         raise ValueError(f"{parser.peek()[1]!r} is left over")
-    return F.coalesce(found, F.lit(False))
+    return found
 
 
 def within(date_range: str | None, date: Column, year: Column) -> Column:
@@ -86,26 +91,32 @@ def within(date_range: str | None, date: Column, year: Column) -> Column:
     return F.coalesce(ok, F.lit(False))
 
 
-def searched(papers: DataFrame, query: str, params: dict[str, str] | None = None) -> DataFrame:
-    """Papers that satisfy a query and its parameters: ``year`` or
-    ``publicationDateOrYear``, ``minCitationCount``, ``venue``,
-    ``publicationTypes``, ``openAccessPdf``."""
+def satisfies(query: str, params: dict[str, str] | None = None) -> Column:
+    """Whether a paper satisfies a query and its parameters: ``year`` or
+    ``publicationDateOrYear``, ``minCitationCount``, ``venue``, ``publicationTypes``,
+    ``fieldsOfStudy`` (of a table that has them), ``openAccessPdf``."""
     params = params or {}
+    several = lambda key: F.array(*[F.lit(v.strip()) for v in params[key].split(",")])
     keep = matches(query, F.col("title"), F.col("abstract"))
     keep = keep & within(params.get("publicationDateOrYear") or params.get("year"), F.col("publicationDate"), F.col("year"))
     if int(params.get("minCitationCount") or 0):
         keep = keep & (F.coalesce("citationCount", F.lit(0)) >= int(params["minCitationCount"]))
     if params.get("venue"):
-        keep = keep & F.col("venue").isin(*[v.strip() for v in params["venue"].split(",")])
-    if params.get("publicationTypes"):
-        keep = keep & F.coalesce(F.arrays_overlap("publicationTypes", F.array(*[F.lit(v.strip()) for v in params["publicationTypes"].split(",")])), F.lit(False))
+        keep = keep & F.coalesce(F.array_contains(several("venue"), F.col("venue")), F.lit(False))
+    for key in ("publicationTypes", "fieldsOfStudy"):
+        if params.get(key):
+            keep = keep & F.coalesce(F.arrays_overlap(key, several(key)), F.lit(False))
     if "openAccessPdf" in params:
         keep = keep & F.col("openAccessPdf.url").isNotNull()
-    return papers.where(keep)
+    return keep
+
+
+def searched(papers: DataFrame, query: str, params: dict[str, str] | None = None) -> DataFrame:
+    return papers.where(satisfies(query, params))
 
 
 def run_queries(papers: DataFrame, queries: list[tuple[str, int, str, dict]]) -> DataFrame:
     """All queries (id, rank, text, parameters) in one scan: a paper comes out
-    once for each query that it satisfies."""
-    hits = [F.when(matches(q, F.col("title"), F.col("abstract")) & within((p or {}).get("year"), F.col("publicationDate"), F.col("year")) & (F.coalesce("citationCount", F.lit(0)) >= int((p or {}).get("minCitationCount") or 0)), F.struct(F.lit(i).alias("query"), F.lit(n).alias("rank"))) for i, n, q, p in queries]
+    once for each query that it satisfies with its parameters."""
+    hits = [F.when(satisfies(q, p), F.struct(F.lit(i).alias("query"), F.lit(n).alias("rank"))) for i, n, q, p in queries]
     return papers.withColumn("hit", F.explode(F.filter(F.array(*hits), lambda h: h.isNotNull()))).select("*", "hit.query", "hit.rank").drop("hit")

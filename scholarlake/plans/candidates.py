@@ -84,7 +84,7 @@ _C = """c as (select l_orderkey paper_key, 'p' || l_linenumber provider, l_linen
         round(l_discount * 10, 4) confidence, l_quantity >= 20 is_direct_pdf, case when l_tax > 0.02 then l_tax * 10 + 0.3 end title_match_score, l_quantity > 45 fallback_only, l_tax < 0.03 asserts_open_access from lineitem)"""
 _S = f"""{_C}, u as (select *, row_number() over (partition by paper_key, pdf_url order by confidence desc, provider_rank, cand_pos) rn,
         first_value(row(provider_rank, cand_pos)) over (partition by paper_key, pdf_url order by provider_rank, cand_pos) seen from c),
-    s as (select *, domain in ('arxiv.org', 'www.nature.com', 'europepmc.org') trusted, round(case when is_direct_pdf then 0.20 else 0 end + case when domain in ('arxiv.org', 'www.nature.com', 'europepmc.org') then 0.20 else 0 end
+    s as (select *, domain in ('arxiv.org', 'www.nature.com', 'europepmc.org', 'dl.acm.org') trusted, round(case when is_direct_pdf then 0.20 else 0 end + case when domain in ('arxiv.org', 'www.nature.com', 'europepmc.org', 'dl.acm.org') then 0.20 else 0 end
         + case version_type when 'publisher' then 0.30 when 'accepted' then 0.20 when 'preprint' then 0.10 else 0 end + case host_type when 'publisher' then 0.10 when 'repository' then 0.05 else 0 end
         + case when title_match_score is null then 0 when title_match_score >= 0.9 then 0.10 else -0.20 end + greatest(0, least(1, confidence)) * 0.10, 6) score from u where rn = 1),
     g as (select *, not fallback_only and is_direct_pdf and score >= 0.75 and trusted and version_type = 'publisher' good from s),

@@ -214,7 +214,7 @@ _H = """h as (select paper_key, list_extract(['arxiv', 'crossref', 'openalex_doi
 ORACLES = {
     "id_forms": f"""select record_id, {_DOI.format('doi')} as doi, nullif(lower(trim(doi)), '') as doi_key, coalesce({_AX.format('arxiv_id')}, nullif(regexp_extract({_DOI.format('doi')}, '10\\.48550/arxiv\\.([A-Za-z\\-]+/\\d{{7}}|\\d{{4}}\\.\\d{{4,5}})', 1), ''),
         case when regexp_extract(dblp_id, 'abs-(\\d{{4}})-(\\d{{4,5}})', 1) <> '' then regexp_extract(dblp_id, 'abs-(\\d{{4}})-(\\d{{4,5}})', 1) || '.' || regexp_extract(dblp_id, 'abs-(\\d{{4}})-(\\d{{4,5}})', 2) end) as arxiv,
-        'PMC' || nullif(regexp_extract(upper(trim(pmcid)), '(?:PMC|^)(\\d{{3,9}})(?:\\D|$)', 1), '') as pmcid, {_KEY} as key from paper_records""",
+        'PMC' || nullif(regexp_extract(trim(pmcid), '(?i)^(?:PMC)?(\\d+)$', 1), '') as pmcid, {_KEY} as key from paper_records""",
     "lookup_ids": "select record_id, coalesce(" + ", ".join([_B.format("semantic_scholar_paper_id"), *[f"'{p}' || {_B.format(c)}" for p, c in (("CorpusId:", "corpus_id"), ("DOI:", "doi"), ("ARXIV:", "arxiv_id"), ("ACL:", "acl_id"), ("PMID:", "pmid"), ("PMCID:", "pmcid"), ("MAG:", "mag_id"))]]) + ") as lookup from paper_records",
     "id_kinds": f"with {_RAW} select record_id, {_KIND} as kind, {_BATCH} as batch, {_GRAPH} as graph, case when {_GRAPH} is not null then null when raw = '' then 'empty' when regexp_matches(raw, '^\\d+$') then 'ambiguous number' else 'unrecognised' end as error from r",
     "venues_and_authors": """select cat, pos, coalesce(nullif(trim(venue), ''), nullif(trim(list_filter(publicationVenue.alternate_names, lambda x: length(trim(x)) <= 10)[1]), ''), nullif(trim(publicationVenue.name), '')) as venue,

@@ -7,11 +7,12 @@ asked is a status, not a missing row.
 from __future__ import annotations
 
 import json
-from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
+from scholarlake.functions import ids
 from scholarlake.functions.text import blank_to_null
+from scholarlake.operators.lookups import recovered_ids
 from scholarlake.sources import schemas
 
 #: Keys of a query file by the name of the parameter they set (fixed values).
@@ -37,7 +38,9 @@ def parse_queries(text: str) -> tuple[list[tuple[str, int, str, dict[str, str]]]
 
 
 def queries(spark: SparkSession, path: str) -> DataFrame:
-    return spark.createDataFrame(parse_queries(Path(path).read_text(encoding="utf-8"))[0], schemas.QUERY)
+    """A query file, wherever the cluster's file systems hold it."""
+    text = spark.read.text(path, wholetext=True).first()[0]
+    return spark.createDataFrame(parse_queries(text)[0], schemas.QUERY)
 
 
 def search_pages(spark: SparkSession, path: str) -> DataFrame:
@@ -45,9 +48,13 @@ def search_pages(spark: SparkSession, path: str) -> DataFrame:
     ``cat``, and ``pos`` counted over the pages of a category in name order."""
     pages = spark.read.schema(f"total bigint, token string, data array<struct<{_struct(schemas.PAPER)}>>").option("multiLine", True).option("mode", "PERMISSIVE").json(path)
     named = pages.withColumn("file", F.input_file_name())
-    cat = F.url_decode(F.regexp_extract("file", r"/cat=([^/]+)/", 1))
-    rows = named.select(cat.alias("cat"), "file", F.posexplode("data").alias("i", "r"))
-    return rows.select("cat", (F.row_number().over(Window.partitionBy("cat").orderBy("file", "i")) - 1).cast("bigint").alias("pos"), "r.*")
+    named = named.select(F.url_decode(F.regexp_extract("file", r"/cat=([^/]+)/", 1)).alias("cat"), "file", "data")
+    # where each page starts: a window over pages, not over their results
+    before = Window.partitionBy("cat").orderBy("file").rowsBetween(Window.unboundedPreceding, -1)
+    size = F.coalesce(F.size("data"), F.lit(0)).cast("bigint")
+    starts = named.select("cat", "file", size.alias("n")).select("cat", "file", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("start"))
+    rows = named.join(starts, ["cat", "file"]).select("cat", "start", F.posexplode("data").alias("i", "r"))
+    return rows.select("cat", (F.col("start") + F.col("i")).cast("bigint").alias("pos"), "r.*")
 
 
 def _struct(ddl: str) -> str:
@@ -109,3 +116,70 @@ def feed_entries(feed: Column) -> Column:
     entry = "struct<id:string,title:string,published:string,author:array<struct<name:string>>,comment:string>"
     parsed = F.from_xml(feed, f"entry array<{entry}>", {"ignoreNamespace": "true", "mode": "PERMISSIVE"})
     return F.transform(parsed["entry"], lambda e: F.struct(F.regexp_extract(e["id"], r"abs/(.+?)(v\d+)?$", 1).alias("arxiv_id"), F.trim(F.regexp_replace(e["title"], r"\s+", " ")).alias("title"), F.transform(e["author"], lambda a: a["name"]).alias("authors"), F.substring(e["published"], 1, 4).try_cast("int").alias("year"), blank_to_null(e["comment"]).alias("comment")))
+
+
+def pages(spark: SparkSession, path: str) -> DataFrame:
+    """Recorded web pages: the address asked for, the one that answered, status, headers and text."""
+    return spark.read.schema(schemas.PAGE).json(path)
+
+
+#: Wrappers under which an input document holds its items (fixed values).
+WRAPPERS = ("papers", "paperIds", "ids")
+
+
+def parse_inputs(value: object) -> list[tuple[int, str | None, str | None]]:
+    """(input_pos, raw id, record as JSON) of an input: an id, a record, a wrapped
+    list, or a list of any of these.  A list's items keep their order."""
+    found: list[tuple[str | None, str | None]] = []
+
+    def walk(item: object) -> None:
+        if isinstance(item, str):
+            found.append((item, None))
+        elif isinstance(item, dict):
+            for key in WRAPPERS:
+                if isinstance(item.get(key), list):
+                    for x in item[key]:
+                        walk(x if key == "papers" else str(x))
+                    return
+            found.append((None, json.dumps(item, ensure_ascii=False)))
+        elif isinstance(item, (list, tuple)):
+            for x in item:
+                walk(x)
+        else:
+            raise ValueError(f"no input of type {type(item).__name__}")
+
+    walk(value)
+    return [(i, raw, record) for i, (raw, record) in enumerate(found)]
+
+
+def inputs(spark: SparkSession, value: object) -> DataFrame:
+    """Papers of an input, with their kind, identifiers and key: a path of a JSON
+    document, a PDF or a folder of PDFs (``.json``, ``.pdf`` or ``/`` at the end), an id,
+    a record, or a list.  Records are read with the declared schema of a paper."""
+    if isinstance(value, str) and value.lower().endswith(".json"):
+        value = json.loads(spark.read.text(value, wholetext=True).first()[0])
+    if isinstance(value, str) and (value.lower().endswith(".pdf") or value.endswith("/")):
+        stored = spark.read.format("binaryFile").option("pathGlobFilter", "*.[pP][dD][fF]").load(value).select("path")
+        key = F.concat(F.lit("localpdf__"), F.substring(F.sha1("path"), 1, 16))
+        return stored.select(key.alias("paper_key"), F.lit("local_pdf").alias("kind"), F.col("path").alias("raw"), *[F.lit(None).cast("string").alias(c) for c in _IDS]).orderBy("raw")
+    rows = spark.createDataFrame(parse_inputs(value), "input_pos int, raw string, record string")
+    return keyed_inputs(rows).orderBy("input_pos")
+
+
+_IDS = ("doi", "arxiv_id", "semantic_scholar_paper_id", "corpus_id", "acl_id", "pmid", "pmcid", "mag_id", "title")
+
+
+def keyed_inputs(rows: DataFrame) -> DataFrame:
+    """Inputs (``input_pos raw record``) with ``kind``, identifiers and ``paper_key``."""
+    kind = F.when(F.col("record").isNotNull(), "metadata_json").otherwise(ids.kind_of_input(F.col("raw")))
+    rest = F.regexp_replace(F.trim("raw"), "^[^:]*:", "")
+    of = lambda name, value: F.when(kind == name, value)
+    paper = F.from_json("record", f"struct<{_struct(schemas.PAPER)},doi:string,arxivId:string,dblpId:string,aclId:string,pmid:string,pmcid:string>")
+    record = recovered_ids(paper["externalIds"], {"doi": paper["doi"], "arxiv_id": paper["arxivId"], "dblp_id": paper["dblpId"], "acl_id": paper["aclId"], "pmid": paper["pmid"], "pmcid": paper["pmcid"], "corpus_id": paper["corpusId"], "paperId": paper["paperId"]})
+    single = {
+        "doi": of("doi", ids.doi(F.col("raw"))), "arxiv_id": of("arxiv", ids.arxiv(F.col("raw"))), "semantic_scholar_paper_id": of("semantic_scholar_paper_id", F.trim("raw")),
+        "corpus_id": of("corpus_id", rest), "acl_id": of("acl_id", rest), "pmid": of("pmid", rest), "pmcid": of("pmcid", rest), "mag_id": of("mag", rest), "title": of("title_or_unknown", F.trim("raw")),
+    }
+    both = {c: F.coalesce(single[c], paper["title"] if c == "title" else record.get(c, F.lit(None).cast("string"))) for c in _IDS}
+    out = rows.select("input_pos", kind.alias("kind"), "raw", *[v.alias(c) for c, v in both.items()])
+    return out.withColumn("paper_key", ids.paper_key(*[F.col(c) for c in ("doi", "arxiv_id", "semantic_scholar_paper_id", "corpus_id", "title")]))

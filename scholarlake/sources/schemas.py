@@ -10,3 +10,5 @@ openalex struct<type:string,display_name:string,is_paratext:boolean,is_retracted
 PAYLOAD = "paper_key string, provider string, lookup_kind string, lookup_key string, hit_pos int, payload string, status int, error string"
 ATTEMPT = "paper_key string, round int, rank int, source_name string, pdf_url string, final_url string, status string, error string, http_status int, not_a_pdf boolean, wrong_document boolean, host_blocked boolean, host_denied boolean, host_challenged boolean, host string"
 RUN = "run_id string, label string, started_at string, completed_at string, status string, counts map<string,struct<raw:bigint,final:bigint>>"
+PAGE = "page_id bigint, url string, final_url string, status int, headers map<string,string>, publisher string, html string"
+RESULT = "paper_key string, original_paper_key string, semantic_scholar_id string, title string, status string, downloaded boolean, reused_existing boolean, pdf_path string, version_type string, source_name string"

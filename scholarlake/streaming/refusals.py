@@ -36,8 +36,12 @@ def refusal_stream(refusals: DataFrame) -> DataFrame:
 
 def ingest(papers: DataFrame, delay: str = "1 hour", at: str = "fetched_at") -> DataFrame:
     """A stream of search rows without repeats of an id in a category, as long
-    as they come within the delay; the state is dropped behind the watermark."""
-    return papers.withWatermark(at, delay).dropDuplicatesWithinWatermark(["cat", "paperId"])
+    as they come within the delay; the state is dropped behind the watermark.
+    Rows without an id are no repeats of each other and all stay: each has a key of
+    its own, so one operator and one watermark serve both."""
+    own = F.coalesce(F.nullif(F.trim("paperId"), F.lit("")), F.concat(F.lit("\0"), F.expr("uuid()")))
+    keyed = papers.withColumn("__id", own).withWatermark(at, delay)
+    return keyed.dropDuplicatesWithinWatermark(["cat", "__id"]).drop("__id")
 
 
 def windowed_counts(events: DataFrame, at: str, by: str, delay: str = "10 minutes", width: str = "1 hour") -> DataFrame:
@@ -45,23 +49,40 @@ def windowed_counts(events: DataFrame, at: str, by: str, delay: str = "10 minute
     return events.withWatermark(at, delay).groupBy(F.window(at, width).alias("w"), by).agg(F.count("*").alias("n")).select(F.col("w.start").alias("start"), by, "n")
 
 
-def upsert(batch: DataFrame, path: str, keys: list[str], at: str) -> None:
-    """For foreachBatch: the latest row of each key, over what is stored and the
-    batch, written to a new version; the pointer moves last."""
-    spark: SparkSession = batch.sparkSession
-    root = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+def _versions(spark: SparkSession, path: str) -> list[tuple[int, bool]]:
+    """(number, whether it is a base) of the whole versions below a path, in order."""
+    jvm = spark.sparkContext._jvm
+    root = jvm.org.apache.hadoop.fs.Path(path)
     fs = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    versions = sorted(int(s.getPath().getName()[1:]) for s in fs.listStatus(root) if s.getPath().getName()[:1] == "v") if fs.exists(root) else []
-    done = [v for v in versions if fs.exists(spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{path}/v{v}/_SUCCESS"))]
-    both = batch if not done else spark.read.parquet(f"{path}/v{done[-1]}").unionByName(batch, allowMissingColumns=True)
-    names = both.columns
-    latest = both.groupBy(*keys).agg(F.max_by(F.struct(*names), F.col(at)).alias("r")).select("r.*")
-    latest.write.mode("overwrite").parquet(f"{path}/v{(versions[-1] + 1) if versions else 0}")
+    if not fs.exists(root):
+        return []
+    names = [s.getPath().getName() for s in fs.listStatus(root)]
+    return sorted((int(n[1:]), n[0] == "b") for n in names if n[:1] in "bv" and n[1:].isdigit() and fs.exists(jvm.org.apache.hadoop.fs.Path(f"{path}/{n}/_SUCCESS")))
 
 
-def current(spark: SparkSession, path: str) -> DataFrame:
-    """The last whole version that ``upsert`` wrote."""
-    root = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    fs = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    done = [int(s.getPath().getName()[1:]) for s in fs.listStatus(root) if fs.exists(spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{path}/{s.getPath().getName()}/_SUCCESS"))]
-    return spark.read.parquet(f"{path}/v{max(done)}")
+def _latest(df: DataFrame, keys: list[str], at: str) -> DataFrame:
+    return df.groupBy(*keys).agg(F.max_by(F.struct(*df.columns), F.col(at)).alias("r")).select("r.*")
+
+
+def upsert(batch: DataFrame, path: str, keys: list[str], at: str, fold_after: int = 16) -> None:
+    """For foreachBatch: a batch's latest row of each key becomes a version of its own,
+    so a batch costs what it holds; after ``fold_after`` of them the versions are folded
+    into a new base.  A version counts once it is whole, so a lost write leaves nothing."""
+    spark: SparkSession = batch.sparkSession
+    done = _versions(spark, path)
+    number = done[-1][0] + 1 if done else 0
+    _latest(batch, keys, at).write.mode("overwrite").parquet(f"{path}/v{number}")
+    since = [n for n, base in done if not base and all(n > m for m, b in done if b)]
+    if len(since) + 1 >= fold_after:
+        current(spark, path, keys, at).write.mode("overwrite").parquet(f"{path}/b{number + 1}")
+
+
+def current(spark: SparkSession, path: str, keys: list[str], at: str) -> DataFrame:
+    """The latest row of each key: the last base and the versions after it."""
+    done = _versions(spark, path)
+    base = max((n for n, is_base in done if is_base), default=None)
+    places = [f"{path}/b{base}"] if base is not None else []
+    places += [f"{path}/v{n}" for n, is_base in done if not is_base and (base is None or n > base)]
+    if not places:
+        raise ValueError(f"nothing is stored at {path}")
+    return _latest(spark.read.option("mergeSchema", True).parquet(*places), keys, at)
