@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, functions as F
 
-from scholarlake.functions.text import collapse
+from scholarlake.functions.text import collapse, strip
 
 
 def letters_only(title: Column) -> Column:
@@ -22,7 +22,7 @@ def arxiv_title(title: Column) -> Column:
 
 def core_title(title: Column) -> Column:
     """Parentheses make the index honour the quotes."""
-    return F.concat(F.lit('title:("'), F.replace(F.trim(title), F.lit('"'), F.lit(" ")), F.lit('")'))
+    return F.concat(F.lit('title:("'), F.replace(strip(title), F.lit('"'), F.lit(" ")), F.lit('")'))
 
 
 def quoted(field: str, value: Column) -> Column:
@@ -45,7 +45,8 @@ def backoff(attempt: Column, base: float = 2.0) -> Column:
 
 def retry_after(header: Column) -> Column:
     """Seconds that a header asks to wait; 60 where it is absent or a date."""
-    return F.coalesce(F.greatest(F.lit(0.0), F.trim(header).try_cast("double")), F.lit(60.0))
+    seconds = F.trim(header).try_cast("double")
+    return F.when(seconds.isNull(), 60.0).otherwise(F.greatest(F.lit(0.0), seconds))
 
 
 def stamp(at: Column) -> Column:

@@ -16,6 +16,8 @@ import pandas as pd
 from pyspark.sql import Column, functions as F, types as T
 from pyspark.sql.functions import pandas_udf
 
+from scholarlake.functions import urls
+
 #: Meta names that give the file's address (fixed values).
 PDF_META = ("citation_pdf_url", "bepress_citation_pdf_url", "eprints.document_url")
 #: Where an abstract stands, in order of trust (fixed values).
@@ -132,6 +134,16 @@ def abstract_of(page: str | None, publisher: str | None, least: int = 80) -> str
     return None
 
 
+def acl_abstract_of(page: str | None) -> str | None:
+    """The text of the anthology's abstract element, without the label in its first span."""
+    if not page:
+        return None
+    body = re.search(r'<div[^>]*class="[^"]*\bacl-abstract\b[^"]*"[^>]*>(.*?)</div>', page, re.S | re.I)
+    if not body:
+        return None
+    return entities.unescape(re.sub(r"<[^>]+>", "", re.sub(r"<span\b.*?</span>", "", body.group(1), count=1, flags=re.S | re.I))).strip() or None
+
+
 def _site(url: str) -> str:
     return ".".join((urlsplit(url).hostname or "").split(".")[-2:])
 
@@ -165,6 +177,11 @@ def abstract(pages: pd.Series, publishers: pd.Series) -> pd.Series:
     return pd.Series([abstract_of(p, q) for p, q in zip(pages, publishers)], dtype="object")
 
 
+@pandas_udf(T.StringType())
+def acl_abstract(pages: pd.Series) -> pd.Series:
+    return pd.Series([acl_abstract_of(p) for p in pages], dtype="object")
+
+
 @pandas_udf(T.StringType())
 def pdf_link(pages: pd.Series, bases: pd.Series) -> pd.Series:
     return pd.Series([pdf_link_of(p, b) for p, b in zip(pages, bases)], dtype="object")
@@ -180,3 +197,46 @@ def meta(page: Column, name: str) -> Column:
     tags = F.regexp_extract_all(page, F.lit(r"(?i)(<meta\b[^>]*>)"), F.lit(1))
     mine = F.filter(tags, lambda t: t.rlike(rf"(?i)(name|property)\s*=\s*[\"']{name}[\"']"))
     return F.nullif(F.regexp_extract(F.get(mine, 0), r"(?i)content\s*=\s*[\"']([^\"']*)[\"']", 1), F.lit(""))
+
+
+def _zipped(page: Column, pattern: str, names: tuple[str, ...]) -> Column:
+    """The groups of each match of a pattern, as structs in order; native."""
+    groups = [F.regexp_extract_all(page, F.lit(pattern), F.lit(i)) for i in range(1, len(names) + 1)]
+    return F.transform(F.arrays_zip(*groups), lambda x: F.struct(*[x[str(i)].alias(n) for i, n in enumerate(names)]))
+
+
+def _plain(c: Column) -> Column:
+    return F.trim(F.regexp_replace(F.regexp_replace(c, "<[^>]+>", ""), r"\s+", " "))
+
+
+def cvf_papers(page: Column) -> Column:
+    """The papers that an index page of the computer vision archive lists: ``url``, ``title``."""
+    found = _zipped(page, r'(?i)href="(/content/[A-Za-z]+\d{4}(?:_workshops)?/html/[^"]+_paper\.html)"[^>]*>([^<]+)</a>', ("href", "title"))
+    found = F.transform(found, lambda x: F.struct(F.concat(F.lit("https://openaccess.thecvf.com"), x["href"]).alias("url"), _plain(x["title"]).alias("title")))
+    return F.filter(found, lambda x: x["title"] != "")
+
+
+def cvf_file(page: Column) -> Column:
+    """The file of a paper's page there: its own link, with or without brackets, else the meta tag."""
+    own = F.nullif(F.regexp_extract(page, r'(?i)href="([^"]+\.pdf)"[^>]*>\s*\[?\s*pdf\s*\]?\s*</a>', 1), F.lit(""))
+    named = F.nullif(F.regexp_extract(page, r'(?i)<meta[^>]+name="citation_pdf_url"[^>]+content="([^"]+)"', 1), F.lit(""))
+    link = F.coalesce(own, named)
+    return F.when(link.rlike("^https?://"), link).otherwise(F.concat(F.lit("https://openaccess.thecvf.com/"), F.regexp_replace(link, "^/+", "")))
+
+
+@pandas_udf(T.StringType())
+def unescape(texts: pd.Series) -> pd.Series:
+    return pd.Series([entities.unescape(t) if isinstance(t, str) else None for t in texts], dtype="object")
+
+
+def search_results(page: Column, most: int = 5) -> Column:
+    """The first results of a search engine's page (``url``, ``title``), redirects undone;
+    ``page`` with its entities decoded (``unescape``)."""
+    found = _zipped(page, r'(?is)<a[^>]+class="[^"]*result__a[^"]*"[^>]+href="([^"]+)"[^>]*>(.*?)</a>', ("href", "title"))
+    found = F.transform(found, lambda x: F.struct(urls.unwrapped(F.trim(x["href"])).alias("url"), _plain(x["title"]).alias("title")))
+    return F.slice(F.filter(found, lambda x: (x["url"] != "") & (x["title"] != "")), 1, most)
+
+
+def file_links(page: Column, most: int = 3) -> Column:
+    """The first links to files of a page, as they stand."""
+    return F.slice(F.regexp_extract_all(page, F.lit(r'(?i)href="([^"]+\.pdf(?:\?[^"]*)?)"'), F.lit(1)), 1, most)

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, functions as F
 
-from scholarlake.functions.text import blank_to_null, match_title
+from scholarlake.functions.text import blank_to_null, match_title, strip
 
 #: Shapes of identifiers (fixed values).
 DOI = r"(?i)(10\.\d{4,9}/\S+)"
@@ -116,7 +116,7 @@ def cvf_index(venue: Column, year: Column) -> Column:
 
 def file_component(c: Column, most: int = 180) -> Column:
     """A component of a path: as ``safe``, trimmed and of limited length."""
-    return F.substring(safe(F.trim(c)), 1, most)
+    return F.substring(safe(strip(c)), 1, most)
 
 
 def graph_file(c: Column) -> Column:

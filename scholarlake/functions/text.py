@@ -21,9 +21,14 @@ VERSION_PHRASES = ("extended version", "extended abstract", "preprint", "arxiv",
 MIN_ABSTRACT = 80
 
 
+def strip(c: Column) -> Column:
+    """Without white space of any kind at either end."""
+    return F.regexp_replace(c, f"^[{SPACES}]+|[{SPACES}]+$", "")
+
+
 def blank_to_null(c: Column) -> Column:
-    """The trimmed text; null for null, empty and blank."""
-    return F.nullif(F.trim(c.cast("string")), F.lit(""))
+    """The stripped text; null for null, empty and blank."""
+    return F.nullif(strip(c.cast("string")), F.lit(""))
 
 
 def collapse(c: Column) -> Column:

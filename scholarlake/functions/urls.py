@@ -107,7 +107,7 @@ def preview_header(host_: Column, headers: Column) -> Column:
     for where, names in reversed(ENTITLEMENT_HEADERS.items()):
         for name in reversed(names):
             value = F.trim(F.try_element_at(named, F.lit(name.lower())))
-            told = F.exists(F.array(*[F.lit(x) for x in NOT_ENTITLED]), lambda x, v=value: F.lower(v).contains(x))
+            told = F.lower(value).rlike("|".join(NOT_ENTITLED))
             out = F.when(under(host_, (where,)) & F.coalesce(told, F.lit(False)), F.concat(F.lit(f"{name}: "), value)).otherwise(out)
     return out
 

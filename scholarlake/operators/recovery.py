@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window, functions as F
+import re
 
-from scholarlake.functions import urls
-from scholarlake.functions.text import blank_to_null
+from pyspark.sql import Column, DataFrame, Window, functions as F
+
+from scholarlake.functions import html, urls
+from scholarlake.functions.text import blank_to_null, collapse, from_inverted_index, recovery_title, similarity
 
 #: Sources in the order in which they are asked, for papers with an arXiv id and
 #: for those without (fixed values).
@@ -28,6 +30,77 @@ def first_hits(hits: DataFrame, threshold: float = 0.85) -> DataFrame:
     return usable.groupBy("paperId").agg(best).select("paperId", F.col("b.route").alias("source"), F.col("b.text").alias("text"))
 
 
+#: What answers of all sources hold of an abstract, parsed once whichever the source.
+ANSWER = """message struct<abstract:string>, abstract string, abstract_inverted_index map<string,array<int>>, resultList struct<result:array<struct<title:string,abstractText:string>>>,
+results array<struct<title:string,displayTitle:string,abstract:string,abstract_inverted_index:map<string,array<int>>>>"""
+
+
+def _texts(answer: Column) -> dict[str, Column]:
+    """The abstract in an answer of each source, before it is tidied."""
+    feed = F.from_xml("payload", "entry array<struct<title:string,summary:string>>", {"ignoreNamespace": "true", "mode": "PERMISSIVE"})
+    listed = F.get(answer["resultList"]["result"], 0)["abstractText"]
+    return {
+        "arxiv": F.get(feed["entry"], 0)["summary"],
+        "pubmed": F.when(F.length("payload") > 20, F.col("payload")),
+        "crossref": F.regexp_replace(answer["message"]["abstract"], "<[^>]+>", ""),
+        "semantic_scholar": answer["abstract"],
+        "openalex_doi": from_inverted_index(F.to_json(answer["abstract_inverted_index"])),
+        "openalex_title": from_inverted_index(F.to_json(F.get(answer["results"], 0)["abstract_inverted_index"])),
+        "europepmc_doi": listed,
+        "europepmc_pmid": listed,
+        "europepmc_title": listed,
+        "core": F.get(F.filter(answer["results"], lambda w: blank_to_null(w["abstract"]).isNotNull()), 0)["abstract"],
+    }
+
+
+def _titles(answer: Column) -> dict[str, Column]:
+    """The title of an answer to a search by title, where the source is asked so."""
+    return {"openalex_title": F.get(answer["results"], 0)["title"], "europepmc_title": F.get(answer["resultList"]["result"], 0)["title"]}
+
+
+def read_answers(answers: DataFrame) -> DataFrame:
+    """Recorded answers (``paperId title has_arxiv route status payload``) as hits for
+    ``first_hits``: a status other than 200, a payload that cannot be read and a blank
+    text give none."""
+    asked = answers.where(F.col("status") == 200)
+    parsed = asked.withColumn("__a", F.from_json("payload", ANSWER, {"mode": "PERMISSIVE"}))
+    texts, titles = _texts(F.col("__a")), _titles(F.col("__a"))
+    pick = lambda by: F.coalesce(*[F.when(F.col("route") == r, c) for r, c in by.items()])
+    read = parsed.where(F.col("route").isin(*texts)).select("paperId", "route", "has_arxiv", recovery_title(F.col("title")).alias("__own"), recovery_title(pick(titles)).alias("__hit"), pick(texts).alias("text"))
+    score = F.when(F.col("route").isin(*titles), similarity(F.coalesce("__own", F.lit("")), F.coalesce("__hit", F.lit(""))))
+    read = read.select("paperId", "route", "has_arxiv", score.alias("title_score"), "text")
+    # the one page among the answers is parsed apart
+    pages = asked.where("route = 'acl'").select("paperId", "route", "has_arxiv", F.lit(None).cast("double").alias("title_score"), html.acl_abstract(F.col("payload")).alias("text"))
+    return read.unionByName(pages).withColumn("text", collapse(F.col("text"))).where("text <> ''")
+
+
+#: Pages of two publishers that stand before the DOI's own (fixed values).
+PAGES_OF = {"Springer": ("https://link.springer.com/article/{0}", "https://link.springer.com/chapter/{0}", "https://www.nature.com/articles/{1}")}
+PAGES_OF["Nature"] = PAGES_OF["Springer"]
+
+
+def page_requests(papers: DataFrame) -> DataFrame:
+    """The pages to look at for each DOI (``paperId doi``), in order of ``step``, with
+    the publisher that the DOI tells; the DOI's own address comes last."""
+    doi, last = F.col("doi"), F.element_at(F.split("doi", "/"), -1)
+    publisher = urls.publisher_of_doi(doi)
+    own = F.array(*[F.concat(*[doi if x == "{0}" else last if x == "{1}" else F.lit(x) for x in re.split(r"(\{[01]\})", u) if x]) for u in PAGES_OF["Springer"]])
+    through = F.array(F.concat(F.lit("https://doi.org/"), doi))
+    pages = F.when(publisher.isin(*PAGES_OF), F.concat(own, through)).otherwise(through)
+    return papers.where(blank_to_null(doi).isNotNull()).select("paperId", "doi", publisher.alias("publisher"), F.posexplode(pages).alias("step", "url"))
+
+
+def scraped(requests: DataFrame, pages: DataFrame) -> DataFrame:
+    """The first abstract on a paper's pages (``url final_url status html``): pages of a
+    publisher by its own rules, the one behind the DOI by those of the address that
+    answered, else of the DOI.  ``publisher`` says whose rules they were."""
+    resolved = F.coalesce(F.nullif(urls.publisher_of_url(F.coalesce("final_url", "url")), F.lit("Unknown")), F.col("publisher"))
+    rules = F.when(F.col("url").startswith("https://doi.org/"), resolved).otherwise(F.col("publisher"))
+    read = requests.join(pages.where("status = 200").select("url", "final_url", "html"), "url").select("paperId", "step", rules.alias("publisher"), "html")
+    found = read.select("paperId", "step", "publisher", html.abstract(F.col("html"), F.col("publisher")).alias("text")).where("text is not null")
+    return found.groupBy("paperId").agg(F.min_by(F.struct("publisher", "text"), "step").alias("f")).select("paperId", "f.publisher", "f.text")
+
+
 def filled(papers: DataFrame, hits: DataFrame, scraped: DataFrame | None = None) -> DataFrame:
     """Papers with their abstract, the one found for it, or the scraped one;
     ``abstract_source`` says which."""
