@@ -134,16 +134,6 @@ def abstract_of(page: str | None, publisher: str | None, least: int = 80) -> str
     return None
 
 
-def acl_abstract_of(page: str | None) -> str | None:
-    """The text of the anthology's abstract element, without the label in its first span."""
-    if not page:
-        return None
-    body = re.search(r'<div[^>]*class="[^"]*\bacl-abstract\b[^"]*"[^>]*>(.*?)</div>', page, re.S | re.I)
-    if not body:
-        return None
-    return entities.unescape(re.sub(r"<[^>]+>", "", re.sub(r"<span\b.*?</span>", "", body.group(1), count=1, flags=re.S | re.I))).strip() or None
-
-
 def _site(url: str) -> str:
     return ".".join((urlsplit(url).hostname or "").split(".")[-2:])
 
@@ -177,11 +167,6 @@ def abstract(pages: pd.Series, publishers: pd.Series) -> pd.Series:
     return pd.Series([abstract_of(p, q) for p, q in zip(pages, publishers)], dtype="object")
 
 
-@pandas_udf(T.StringType())
-def acl_abstract(pages: pd.Series) -> pd.Series:
-    return pd.Series([acl_abstract_of(p) for p in pages], dtype="object")
-
-
 @pandas_udf(T.StringType())
 def pdf_link(pages: pd.Series, bases: pd.Series) -> pd.Series:
     return pd.Series([pdf_link_of(p, b) for p, b in zip(pages, bases)], dtype="object")
@@ -240,3 +225,19 @@ def search_results(page: Column, most: int = 5) -> Column:
 def file_links(page: Column, most: int = 3) -> Column:
     """The first links to files of a page, as they stand."""
     return F.slice(F.regexp_extract_all(page, F.lit(r'(?i)href="([^"]+\.pdf(?:\?[^"]*)?)"'), F.lit(1)), 1, most)
+
+
+#: Entities that stand in abstracts (fixed values).
+ENTITIES = {"&lt;": "<", "&gt;": ">", "&quot;": '"', "&#39;": "'", "&apos;": "'", "&nbsp;": " ", "&amp;": "&"}
+
+
+def acl_abstract(page: Column) -> Column:
+    """The text of the anthology's abstract element, without its first span, which is a
+    label; native."""
+    body = F.regexp_extract(page, r'(?is)<div[^>]*class="[^"]*\bacl-abstract\b[^"]*"[^>]*>(.*?)</div>', 1)
+    label = r"(?is)^(.*?)<span\b.*?</span>(.*)$"
+    body = F.when(body.rlike(label), F.concat(F.regexp_extract(body, label, 1), F.regexp_extract(body, label, 2))).otherwise(body)
+    text = F.regexp_replace(body, "<[^>]+>", "")
+    for entity, sign in ENTITIES.items():
+        text = F.replace(text, F.lit(entity), F.lit(sign))
+    return text

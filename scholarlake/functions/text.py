@@ -28,7 +28,9 @@ def strip(c: Column) -> Column:
 
 def blank_to_null(c: Column) -> Column:
     """The stripped text; null for null, empty and blank."""
-    return F.nullif(strip(c.cast("string")), F.lit(""))
+    text = strip(c.cast("string"))
+    # no nullif: its rewritten form does not take the result of a Python function
+    return F.when(text != "", text)
 
 
 def collapse(c: Column) -> Column:

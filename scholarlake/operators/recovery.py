@@ -42,6 +42,7 @@ def _texts(answer: Column) -> dict[str, Column]:
     return {
         "arxiv": F.get(feed["entry"], 0)["summary"],
         "pubmed": F.when(F.length("payload") > 20, F.col("payload")),
+        "acl": html.acl_abstract(F.col("payload")),
         "crossref": F.regexp_replace(answer["message"]["abstract"], "<[^>]+>", ""),
         "semantic_scholar": answer["abstract"],
         "openalex_doi": from_inverted_index(F.to_json(answer["abstract_inverted_index"])),
@@ -65,13 +66,12 @@ def read_answers(answers: DataFrame) -> DataFrame:
     asked = answers.where(F.col("status") == 200)
     parsed = asked.withColumn("__a", F.from_json("payload", ANSWER, {"mode": "PERMISSIVE"}))
     texts, titles = _texts(F.col("__a")), _titles(F.col("__a"))
+    # a generated column is computed once, whatever reads it
     pick = lambda by: F.coalesce(*[F.when(F.col("route") == r, c) for r, c in by.items()])
-    read = parsed.where(F.col("route").isin(*texts)).select("paperId", "route", "has_arxiv", recovery_title(F.col("title")).alias("__own"), recovery_title(pick(titles)).alias("__hit"), pick(texts).alias("text"))
+    read = parsed.where(F.col("route").isin(*texts)).select("paperId", "route", "has_arxiv", recovery_title(F.col("title")).alias("__own"), recovery_title(pick(titles)).alias("__hit"), F.explode(F.array(collapse(pick(texts)))).alias("text")).where("text <> ''")
     score = F.when(F.col("route").isin(*titles), similarity(F.coalesce("__own", F.lit("")), F.coalesce("__hit", F.lit(""))))
     read = read.select("paperId", "route", "has_arxiv", score.alias("title_score"), "text")
-    # the one page among the answers is parsed apart
-    pages = asked.where("route = 'acl'").select("paperId", "route", "has_arxiv", F.lit(None).cast("double").alias("title_score"), html.acl_abstract(F.col("payload")).alias("text"))
-    return read.unionByName(pages).withColumn("text", collapse(F.col("text"))).where("text <> ''")
+    return read
 
 
 #: Pages of two publishers that stand before the DOI's own (fixed values).
