@@ -54,13 +54,13 @@ class _Parser:
 
 def matches(query: str, *columns: Column) -> Column:
     """Whether the texts satisfy the query, whatever the case; each word or phrase
-    must stand in one of them.  Both match at word starts, and a trailing * matches
-    any ending."""
+    must stand in one of them; what is no letter or digit parts words in both.  Both
+    match at word starts, and a trailing * matches any ending."""
     texts = [F.lower(c) for c in columns]
 
     def leaf(term: str) -> Column:
         open_ = term.endswith("*")
-        words = [re.escape(w) for w in term.rstrip("*").lower().split()]
+        words = [re.escape(w) for w in re.split(r"[\W_]+", term.lower()) if w]
         if not words:
             return F.lit(True)
         pattern = r"(^|[^\p{L}\p{N}])" + r"[^\p{L}\p{N}]+".join(words) + ("" if open_ else r"($|[^\p{L}\p{N}])")

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 Query = Callable[[SparkSession, str], DataFrame]
 
 #: The modules of this package that hold ``QUERIES`` and ``ORACLES``.
-AREAS: tuple[str, ...] = ("dedup", "candidates", "records", "answers", "pages")
+AREAS: tuple[str, ...] = ("dedup", "candidates", "records", "answers", "pages", "stored")
 
 
 def _areas():

@@ -245,4 +245,22 @@ ORACLES = {
     "latest_events": "select user_id, event_type, arg_max(event_id, row(epoch_us(ts), event_id)) as last_event, count(*) as events from events group by all",
     "enriched_records": f"""with f as (select paper_key k, arg_min(source, doc_id) found_in, arg_min(section, doc_id) found_section from documents where paper_key is not null group by 1), r as (select record_id, paper_key, case when {_DOI.format('doi')} is not null then 'doi__' || {_SAFE.format(_DOI.format('doi'))} else 'title__' || substr(sha1(coalesce(nullif({_MATCH.replace('{0}', 'title')}, ''), 'unknown')), 1, 16) end own from paper_records)
         select record_id, case when a.k is not null then a.found_in else b.found_in end as found_in, case when a.k is not null then a.found_section else b.found_section end as found_section from r left join f a on a.k = paper_key left join f b on b.k = own""",
+    "url_hosts": r"""with u as (select cat, pos, lower(openAccessPdf.url) u, nullif(regexp_replace(regexp_extract(lower(openAccessPdf.url), '^[a-z][a-z0-9+.-]*://([^/?#]*)', 1), '^www\.', ''), '') dm from search_papers where openAccessPdf.url is not null),
+        h as (select *, nullif(regexp_replace(regexp_replace(regexp_replace(dm, '^[^@]*@', ''), ':\d*$', ''), '^www\.', ''), '') hs from u)
+        select cat, pos, dm as domain, hs as host, list_last(string_split(hs, '.')) as top, len(string_split(hs, '.'))::int as depth, case when dm in ('arxiv.org', 'biorxiv.org', 'medrxiv.org', 'ssrn.com', 'osf.io') then 'preprint' when dm in ('aclanthology.org', 'dl.acm.org', 'link.springer.com', 'nature.com', 'mdpi.com') then 'publisher' when dm in ('europepmc.org', 'zenodo.org', 'core.ac.uk', 'hal.science') then 'repository' else 'unknown' end as host_type,
+        regexp_matches(u, '\.pdf($|[?#])') as is_pdf, regexp_matches(u, 'staging\.|test\.|sandbox\.|dev\.|qa\.') as staging from h""",
+    "page_counts": """with r as (select l_linenumber n, l_partkey a, l_partkey + l_quantity::int b from lineitem),
+        s as (select distinct case n when 1 then a || '-' || b when 2 then a || '–' || right(b::varchar, 2) when 3 then 'e' || a when 4 then a::varchar when 5 then b || '-' || a else 'n.d.' end as pages, case n when 1 then 1 when 2 then 1 when 5 then 1 when 4 then 2 else 0 end kind, case when n = 5 then b else a end f, case n when 1 then b::varchar when 2 then right(b::varchar, 2) when 5 then a::varchar end l from r),
+        w as (select pages, kind, f, case when length(l) < length(f::varchar) and l::bigint < f then (left(f::varchar, length(f::varchar) - length(l)) || l)::bigint else l::bigint end t from s)
+        select distinct pages, case when kind = 2 then 1 when kind = 1 and t - f + 1 between 1 and 400 then t - f + 1 end::bigint as n_pages from w""",
+    "recovery_by_publisher": """with r as (select coalesce(venue, '') cat, doi, case when coalesce(abstract_source, '') like 'scrape:%' then abstract_source when nullif(trim(abstract), '') is not null then 'original' end src from paper_records),
+        g as (select cat, case split_part(doi, '/', 1) when '10.1007' then 'Springer' when '10.1145' then 'ACM' when '10.1109' then 'IEEE' when '10.1016' then 'Elsevier' else 'Unknown' end publisher, 1 m, 0 b from r where src is null or src like 'scrape:%' union all select cat, substr(src, 8), 0, 1 from r where src like 'scrape:%')
+        select cat, publisher, sum(m)::bigint as missing, sum(b)::bigint as recovered from g group by 1, 2 union all select 'TOTAL', publisher, sum(m), sum(b) from g group by 2""",
+    "keyword_search": r"""with q as (select id, regexp_extract_all(query, '"([^"]+)"', 1) t, map_extract_value(params, 'year') y, coalesce(map_extract_value(params, 'minCitationCount')::int, 0) m from search_queries),
+        w as (select id, y, m, list_transform(t, lambda p: ' ' || regexp_replace(lower(p), '[^\p{L}\p{N}]+', ' ', 'g') || ' ') r from q),
+        p as (select cat, pos, ' ' || regexp_replace(lower(coalesce(title, '')), '[^\p{L}\p{N}]+', ' ', 'g') || ' ' a, ' ' || regexp_replace(lower(coalesce(abstract, '')), '[^\p{L}\p{N}]+', ' ', 'g') || ' ' b, coalesce(publicationDate, year::varchar || '-01-01') v, coalesce(citationCount, 0) c from search_papers)
+        select cat, pos, id as query from p, w where c >= m and (contains(a, r[1]) or contains(b, r[1]) or contains(a, r[2]) or contains(b, r[2])) and (contains(a, r[3]) or contains(b, r[3]))
+        and (y is null or (v >= split_part(y, '-', 1) and (split_part(y, '-', 2) = '' or substr(v, 1, 4) <= split_part(y, '-', 2))))""",
+    "clean_abstracts": r"""with c as (select doc_id, regexp_replace(trim(regexp_replace(regexp_replace(text, '<[^>]+>', ' ', 'g'), '[\s\x{85}\x{A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}\x0B\x1C-\x1F]+', ' ', 'g')), '(?i)^abstract[: ]+', '') t from documents)
+        select doc_id, case when length(t) >= 80 then t end as abstract from c""",
 }

@@ -9,6 +9,7 @@ from __future__ import annotations
 import json
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
+from pyspark.sql.types import StructType
 
 from scholarlake.functions import ids
 from scholarlake.functions.text import blank_to_null
@@ -46,7 +47,7 @@ def queries(spark: SparkSession, path: str) -> DataFrame:
 def search_pages(spark: SparkSession, path: str) -> DataFrame:
     """Recorded result pages under ``cat=<id>`` folders: one row per result, with
     ``cat``, and ``pos`` counted over the pages of a category in name order."""
-    pages = spark.read.schema(f"total bigint, token string, data array<struct<{_struct(schemas.PAPER)}>>").option("multiLine", True).option("mode", "PERMISSIVE").json(path)
+    pages = spark.read.schema(f"total bigint, token string, data array<{_struct(schemas.PAPER)}>").option("multiLine", True).option("mode", "PERMISSIVE").json(path)
     named = pages.withColumn("file", F.input_file_name())
     named = named.select(F.url_decode(F.regexp_extract("file", r"/cat=([^/]+)/", 1)).alias("cat"), "file", "data")
     # where each page starts: a window over pages, not over their results
@@ -58,22 +59,8 @@ def search_pages(spark: SparkSession, path: str) -> DataFrame:
 
 
 def _struct(ddl: str) -> str:
-    """Fields of a table as those of a struct."""
-    out, depth, word = [], 0, True
-    for c in " ".join(ddl.split()):
-        depth += (c == "<") - (c == ">")
-        if c == " " and depth == 0 and word:
-            out.append(":")
-            word = False
-            continue
-        if c == "," and depth == 0:
-            word = True
-            out.append(",")
-            continue
-        if c == " " and out and out[-1] == ",":
-            continue
-        out.append(c)
-    return "".join(out)
+    """A table's declared columns as the type of a struct."""
+    return StructType.fromDDL(ddl).simpleString()
 
 
 def categories(spark: SparkSession, path: str) -> DataFrame:
@@ -174,7 +161,7 @@ def keyed_inputs(rows: DataFrame) -> DataFrame:
     kind = F.when(F.col("record").isNotNull(), "metadata_json").otherwise(ids.kind_of_input(F.col("raw")))
     rest = F.regexp_replace(F.trim("raw"), "^[^:]*:", "")
     of = lambda name, value: F.when(kind == name, value)
-    paper = F.from_json("record", f"struct<{_struct(schemas.PAPER)},doi:string,arxivId:string,dblpId:string,aclId:string,pmid:string,pmcid:string>")
+    paper = F.from_json("record", f"{schemas.PAPER}, doi string, arxivId string, dblpId string, aclId string, pmid string, pmcid string")
     record = recovered_ids(paper["externalIds"], {"doi": paper["doi"], "arxiv_id": paper["arxivId"], "dblp_id": paper["dblpId"], "acl_id": paper["aclId"], "pmid": paper["pmid"], "pmcid": paper["pmcid"], "corpus_id": paper["corpusId"], "paperId": paper["paperId"]})
     single = {
         "doi": of("doi", ids.doi(F.col("raw"))), "arxiv_id": of("arxiv", ids.arxiv(F.col("raw"))), "semantic_scholar_paper_id": of("semantic_scholar_paper_id", F.trim("raw")),
