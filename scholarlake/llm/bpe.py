@@ -25,6 +25,7 @@ from functools import lru_cache, partial
 
 import pyarrow as pa
 import regex
+from pyspark import Broadcast
 from pyspark.sql import DataFrame, functions as F
 
 #: Pieces of a text: contractions, letters, digits, signs, blanks (fixed value).
@@ -113,18 +114,22 @@ class Encoder:
         return out
 
 
-@lru_cache(maxsize=2)
 def encoder(path: str) -> Encoder:
     """The encoder of a rank file: a base64 token and its rank on each line."""
     with open(path, "rb") as lines:
-        return Encoder({base64.b64decode(token): int(rank) for token, rank in map(bytes.split, lines)})
+        return _encoder(lines.read())
+
+
+@lru_cache(maxsize=2)
+def _encoder(ranks: bytes) -> Encoder:
+    return Encoder({base64.b64decode(token): int(rank) for token, rank in (line.split() for line in ranks.splitlines() if line.strip())})
 
 
 _IDS = pa.schema([("id", pa.int64()), ("ids", pa.list_(pa.int32()))])
 
 
-def _encode(batches: Iterator[pa.RecordBatch], path: str, rows: int = 500) -> Iterator[pa.RecordBatch]:
-    made = encoder(path)
+def _encode(batches: Iterator[pa.RecordBatch], ranks: Broadcast, rows: int = 500) -> Iterator[pa.RecordBatch]:
+    made = _encoder(ranks.value)
     for batch in batches:
         for at in range(0, batch.num_rows, rows):
             part = batch.slice(at, rows)
@@ -134,6 +139,9 @@ def _encode(batches: Iterator[pa.RecordBatch], path: str, rows: int = 500) -> It
 
 def encode(df: DataFrame, id_column: str, text_column: str, path: str) -> DataFrame:
     """One row per row of ``df``: the id and ``ids``, the token ids of the whole
-    text.  A single pass without a shuffle."""
+    text.  A single pass without a shuffle.  The rank file is read where the query is
+    made and goes to the workers with it (about a megabyte); they need no such file."""
     thin = df.select(F.col(f"`{id_column}`").cast("bigint").alias("id"), F.col(f"`{text_column}`").cast("string").alias("text"))
-    return thin.mapInArrow(partial(_encode, path=path), "id bigint, ids array<int>").withColumnRenamed("id", id_column)
+    with open(path, "rb") as lines:
+        ranks = df.sparkSession.sparkContext.broadcast(lines.read())
+    return thin.mapInArrow(partial(_encode, ranks=ranks), "id bigint, ids array<int>").withColumnRenamed("id", id_column)

@@ -10,10 +10,14 @@ pair gets similarity features, and a logistic model fitted to weak labels (the
 plainly same and the plainly different pairs) turns them into a probability,
 calibrated on weak labels held out from the fit.
 
-Blocks are joined by key, so a hot block is split by the join itself, and only
+Blocks are joined by key; a key is one of many of its profile, and where one is hot
+the adaptive skew rule splits the join.  Only
 pairs that pass a native test of shared words go on to the costlier features.
-The weak labels of at most ``most_pairs`` candidates, chosen by their hash, reach
-the driver; everything else is distributed and sees all rows.
+The weak labels of at most ``most_pairs`` candidates of each kind, chosen by their
+hash, reach the driver; everything else is distributed and sees all rows.  Pairs in
+which a side names nobody have a model of their own, fitted to planted pairs: about
+``PLANTED`` named profiles pass through blocks, test and features as if without names,
+and their names tell what is so.
 
 Defined results for odd input: rows with a null, blank or placeholder title match
 nothing; with authors missing on a side the title must name the work by itself;
@@ -35,7 +39,7 @@ import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark import Broadcast
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from scholarlake.llm import mojibake
 from scholarlake.llm.common import settle
@@ -105,7 +109,9 @@ def _hash(text: str, seed: int) -> int:
 
 _PROFILE = pa.schema([("id", pa.int64()), ("pid", pa.int64()), ("words", pa.list_(pa.string())), ("names", pa.list_(pa.string())), ("year", pa.int32())])
 _PROFILE_SQL = "id bigint, pid bigint, words array<string>, names array<string>, year int"
-_KEY = pa.schema([("key", pa.int64()), ("pid", pa.int64())])
+_KEY = pa.schema([("key", pa.int64()), ("pid", pa.int64()), ("planted", pa.bool_())])
+#: Named profiles, about, that also stand for profiles without names, to learn from.
+PLANTED = 20_000
 #: A word's chance to be a title's MinHash falls with this power of its share of titles.
 RARITY = 0.75
 
@@ -144,15 +150,17 @@ def _marked(batches: Iterator[pa.RecordBatch], common: Broadcast) -> Iterator[pa
         yield pa.RecordBatch.from_arrays([*batch.columns, rare], names=[*batch.schema.names, "rare"])
 
 
-def _blocks(batches: Iterator[pa.RecordBatch], common: Broadcast, hashes: tuple[int, int]) -> Iterator[pa.RecordBatch]:
-    """(key, pid) of the blocks of each profile: one of the MinHashes of the
+def _blocks(batches: Iterator[pa.RecordBatch], common: Broadcast, hashes: tuple[int, int], rare_words: int, planted: int) -> Iterator[pa.RecordBatch]:
+    """(key, pid, planted) of the blocks of each profile: one of the MinHashes of the
     authors with one of the title's weighted MinHashes; rare words by
     themselves, as they fill no large block; and a title without rare words that
-    goes with one author list at most, so that it can stand for a work alone."""
+    goes with one author list at most, so that it can stand for a work alone.
+    One in ``planted`` named profiles also stands in the blocks that it would have
+    without its names (none if 0)."""
     known = common.value
     rarest = min(known.values(), default=1.0)
     for batch in batches:
-        keys, pids = [], []
+        keys, pids, marks = [], [], []
         for pid, words, names, lists, rare in zip(*(c.to_pylist() for c in batch.columns)):
             drawn = [(w, _draws(w, known.get(w, rarest), hashes[0])) for w in set(words)]
             # half of the hash functions leave rare words out: those may be misspelt
@@ -160,14 +168,15 @@ def _blocks(batches: Iterator[pa.RecordBatch], common: Broadcast, hashes: tuple[
             low = [min(drawn if s % 2 else plain, key=lambda d: (d[1][s], d[0]))[0] for s in range(hashes[0])]
             two = {"|".join(sorted((low[i], low[(i + 1) % len(low)]))) for i in range(len(low))}
             lowest = {min(names, key=lambda n: (_hash(n, 100 + s), n)) for s in range(hashes[1])} if names else set()
-            mine = {_hash(f"{n}|{t}", 7) for n in lowest for t in set(low)}
-            mine |= {_hash(f"rare|{w}", 11) for w in sorted(rare, key=lambda w: _hash(w, 5))[:RARE_WORDS]}
-            if not rare and (lists or 0) <= 1:
-                mine |= {_hash(f"alone|{t}", 9) for t in ("".join(words), *two)}
-            keys += [k - (1 << 63) for k in mine]
-            pids += [pid] * len(mine)
+            telling = {_hash(f"rare|{w}", 11) for w in sorted(rare, key=lambda w: _hash(w, 5))[:rare_words]}
+            alone = set() if rare else {_hash(f"alone|{t}", 9) for t in ("".join(words), *two)}
+            mine = {_hash(f"{n}|{t}", 7) for n in lowest for t in set(low)} | telling | (alone if (lists or 0) <= 1 else set())
+            masked = telling | (alone if (lists or 1) <= 2 else set()) if planted and names and pid % planted == 0 else set()
+            keys += [k - (1 << 63) for k in (*mine, *masked)]
+            marks += [False] * len(mine) + [True] * len(masked)
+            pids += [pid] * (len(mine) + len(masked))
         if keys:
-            yield pa.RecordBatch.from_arrays([pa.array(keys, pa.int64()), pa.array(pids, pa.int64())], schema=_KEY)
+            yield pa.RecordBatch.from_arrays([pa.array(keys, pa.int64()), pa.array(pids, pa.int64()), pa.array(marks, pa.bool_())], schema=_KEY)
 
 
 @lru_cache(maxsize=1 << 16)
@@ -227,12 +236,21 @@ def features(wa: list[str], na: list[str], ya: int | None, wb: list[str], nb: li
     return [title, squashed, left_over, replaced, names, first, initials, min(gap, 5) / 5 if gap is not None else 0.2, float(gap is None), none, title * names, float(gap is not None and gap > 3), conflict, alone]
 
 
-_PAIR = pa.schema([("l", pa.int64()), ("r", pa.int64()), ("x", pa.list_(pa.float64()))])
+_PAIR = pa.schema([("l", pa.int64()), ("r", pa.int64()), ("planted", pa.bool_()), ("x", pa.list_(pa.float64())), ("label", pa.int32())])
 
 
 def _featured(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The features of each pair, and its weak label.  A planted pair has the features
+    it would have without names, and the label that its names give it."""
     for batch in batches:
-        rows = [(a, b, features(wa, na, ya, wb, nb, yb, set(ra), set(rb), (ta or 0) <= 1 and (tb or 0) <= 1)) for a, b, wa, na, ya, wb, nb, yb, ta, tb, ra, rb in zip(*(c.to_pylist() for c in batch.columns))]
+        rows = []
+        for a, b, planted, wa, na, ya, wb, nb, yb, ta, tb, ra, rb in zip(*(c.to_pylist() for c in batch.columns)):
+            ra, rb = set(ra), set(rb)
+            x = features(wa, na, ya, wb, nb, yb, ra, rb, (ta or 0) <= 1 and (tb or 0) <= 1)
+            label = weak_label(x)
+            if planted:
+                x = features(wa, [], ya, wb, nb, yb, ra, rb, (ta or 1) <= 2 and (tb or 0) <= 2)
+            rows.append((a, b, planted, x, label))
         if rows:
             yield pa.RecordBatch.from_arrays([pa.array(c, t.type) for c, t in zip(zip(*rows), _PAIR)], schema=_PAIR)
 
@@ -255,37 +273,77 @@ def weak_label(x: list[float]) -> int | None:
     return None
 
 
-def fit(rows: list[list[float]], steps: int = 600) -> dict:
-    """Logistic weights from weak labels, each class weighing the same, and a
-    calibration (Platt) on the fifth of them that was held out."""
-    found = [(x, y) for x in rows if (y := weak_label(x)) is not None]
-    prior = np.array([3.0, 1.5, -4.0, -7.0, 3.0, 0.5, 1.0, -1.0, 0.0, 2.0, 3.0, -2.0, -6.0, -6.0])
-    w, bias = prior.copy(), -5.5
-    if len({y for _, y in found}) < 2:
-        return {"w": w.tolist(), "bias": bias, "a": 1.0, "b": 0.0}
-    x, y = np.array([f for f, _ in found]), np.array([float(t) for _, t in found])
-    held = np.arange(len(y)) % 5 == 4
-    if len(set(y[~held])) < 2 or len(set(y[held])) < 2:
-        held[:] = False
-    weight = np.where(y == 1, 0.5 / max(1, (y[~held] == 1).sum()), 0.5 / max(1, (y[~held] == 0).sum()))
-    xt, yt, wt = x[~held], y[~held], weight[~held]
+#: What the features say before any label is seen, in their order, and the bias (fixed values).
+PRIOR, PRIOR_BIAS = (3.0, 1.5, -4.0, -7.0, 3.0, 0.5, 1.0, -1.0, 0.0, 2.0, 3.0, -2.0, -6.0, -6.0), -5.5
+
+
+def _sigmoid(z: np.ndarray) -> np.ndarray:
+    return 1 / (1 + np.exp(-np.clip(z, -30, 30)))
+
+
+def _logistic(x: np.ndarray, y: np.ndarray, weight: np.ndarray, steps: int) -> tuple[np.ndarray, float]:
+    """Weights and bias, drawn towards the prior."""
+    prior = np.array(PRIOR)
+    w, bias = prior.copy(), PRIOR_BIAS
     for _ in range(steps):
-        p = 1 / (1 + np.exp(-np.clip(xt @ w + bias, -30, 30)))
-        w -= 1.0 * (xt.T @ (wt * (p - yt)) + 0.01 * (w - prior))
-        bias -= 1.0 * float((wt * (p - yt)).sum() + 0.01 * (bias + 5.5))
-    a, b = 1.0, 0.0
-    if held.any():
-        z, yh, wh = np.clip(x[held] @ w + bias, -8, 8), y[held], weight[held] / weight[held].sum()
-        for _ in range(steps):
-            p = 1 / (1 + np.exp(-np.clip(a * z + b, -30, 30)))
-            a -= 0.1 * (float((wh * (p - yh) * z).sum()) + 0.05 * (a - 1))
-            b -= 0.1 * (float((wh * (p - yh)).sum()) + 0.05 * b)
-    return {"w": w.tolist(), "bias": bias, "a": a, "b": b}
+        p = _sigmoid(x @ w + bias)
+        w -= 1.0 * (x.T @ (weight * (p - y)) + 0.01 * (w - prior))
+        bias -= 1.0 * float((weight * (p - y)).sum() + 0.01 * (bias - PRIOR_BIAS))
+    return w, bias
 
 
-def matches(left: DataFrame, left_id: str, right: DataFrame, right_id: str, title: str = "title", authors: str = "authors", year: str = "year", least: float = 0.5, most_pairs: int = 50_000, frequent: float = 0.0005) -> DataFrame:
+def _platt(z: np.ndarray, y: np.ndarray, weight: np.ndarray, steps: int) -> tuple[float, float]:
+    """Slope and offset of the calibrated log odds."""
+    a, b = 1.0, 0.0
+    for _ in range(steps):
+        p = _sigmoid(a * z + b)
+        a -= 0.1 * (float((weight * (p - y) * z).sum()) + 0.05 * (a - 1))
+        b -= 0.1 * (float((weight * (p - y)).sum()) + 0.05 * b)
+    return a, b
+
+
+def _even(y: np.ndarray) -> np.ndarray:
+    """Weights by which each class weighs the same."""
+    return np.where(y == 1, 0.5 / max(1, y.sum()), 0.5 / max(1, len(y) - y.sum()))
+
+
+def fit(named: list[tuple[list[float], int]], nameless: list[tuple[list[float], int]], steps: int = 600) -> dict[str, dict]:
+    """Two logistic models from weak labels (features, label), for pairs with names on
+    both sides (each class weighing the same) and for pairs without, each with a
+    calibration (Platt) on the fifth of the labels that was held out.
+
+    A pair without names labels nothing by itself.  The second model is fitted to planted
+    pairs, in their natural numbers: named profiles blocked, filtered and compared as if
+    they had no names, whose names then tell what is so.  ``error`` is the mean distance
+    of calibrated and true probability over ten bins of held-out rows."""
+    out = {}
+    for kind, rows in (("named", named), ("nameless", nameless)):
+        model = {"w": list(PRIOR), "bias": PRIOR_BIAS, "a": 1.0, "b": 0.0, "error": None, "labels": len(rows)}
+        x, y = np.array([r[0] for r in rows]), np.array([float(r[1]) for r in rows])
+        if len(set(y)) == 2:
+            held = np.arange(len(y)) % 5 == 4
+            if len(set(y[~held])) < 2 or len(set(y[held])) < 2:
+                held[:] = False
+            weigh = _even if kind == "named" else lambda t: np.full(len(t), 1 / len(t))
+            w, bias = _logistic(x[~held], y[~held], weigh(y[~held]), steps)
+            model |= {"w": w.tolist(), "bias": bias}
+            if held.any():
+                z = np.clip(x[held] @ w + bias, -8, 8)
+                a, b = _platt(z, y[held], weigh(y[held]), steps)
+                model |= {"a": a, "b": b, "error": _calibration_error(_sigmoid(a * z + b), y[held])}
+        out[kind] = model
+    return out
+
+
+def _calibration_error(p: np.ndarray, y: np.ndarray) -> float:
+    bins = np.minimum(9, (p * 10).astype(int))
+    return round(float(sum(abs(p[bins == k].mean() - y[bins == k].mean()) * (bins == k).mean() for k in range(10) if (bins == k).any())), 4)
+
+
+def matches(left: DataFrame, left_id: str, right: DataFrame, right_id: str, title: str = "title", authors: str = "authors", year: str = "year", least: float = 0.5, most_pairs: int = 50_000, frequent: float = 0.0005, rare_words: int = RARE_WORDS, screen: bool = True) -> DataFrame:
     """One row per pair of rows that describe the same work: both ids and
-    ``confidence``, at least ``least``."""
+    ``confidence``, at least ``least``.  Without ``screen`` all pairs of a block are
+    compared, also those that the native test leaves out."""
     spark = left.sparkSession
 
     def side(df: DataFrame, key: str) -> DataFrame:
@@ -308,8 +366,10 @@ def matches(left: DataFrame, left_id: str, right: DataFrame, right_id: str, titl
     schema = "pid bigint, words array<string>, names array<string>, year int, n bigint, rare array<string>"
     l, r = (settle(x.withColumn("t", whole).join(titles, "t", "left").select("pid", "words", "names", "year", "n").mapInArrow(partial(_marked, common=sent), schema)) for x in (l, r))
 
-    key_l, key_r = (x.select("pid", "words", "names", "n", "rare").mapInArrow(partial(_blocks, common=sent, hashes=(TITLE_HASHES, SURNAME_HASHES)), "key bigint, pid bigint").withColumnRenamed("pid", p) for x, p in ((l, "l"), (r, "r")))
-    pairs = key_l.join(key_r, "key").select("l", "r").distinct()
+    one_in = max(1, n // PLANTED)
+    keyed = lambda x, planted: x.select("pid", "words", "names", "n", "rare").mapInArrow(partial(_blocks, common=sent, hashes=(TITLE_HASHES, SURNAME_HASHES), rare_words=rare_words, planted=planted), "key bigint, pid bigint, planted boolean")
+    key_l, key_r = keyed(l, one_in).withColumnRenamed("pid", "l"), keyed(r, 0).select("key", F.col("pid").alias("r"))
+    pairs = key_l.join(key_r, "key").select("l", "r", "planted").distinct()
     renamed = lambda x, p, q: x.select(F.col("pid").alias(p), *[F.col(c).alias(f"{c}_{q}") for c in ("words", "names", "year", "n", "rare")])
     full = pairs.join(renamed(l, "l", "a"), "l").join(renamed(r, "r", "b"), "r")
     # pairs that no feature could save are left out natively, before Python sees them
@@ -318,16 +378,30 @@ def matches(left: DataFrame, left_id: str, right: DataFrame, right_id: str, titl
     start = lambda c: F.transform(c, lambda n: F.substring(n, 1, 3))
     both_named = (F.size("names_a") > 0) & (F.size("names_b") > 0)
     telling = F.arrays_overlap("rare_a", "rare_b")
-    single = (F.coalesce("n_a", F.lit(0)) <= 1) & (F.coalesce("n_b", F.lit(0)) <= 1) & F.coalesce(F.abs(F.col("year_a") - F.col("year_b")) <= 1, F.lit(False))
-    full = full.where((shared * 2 >= small) & F.when(both_named, F.arrays_overlap(start("names_a"), start("names_b"))).otherwise(telling | single))
-    featured = settle(full.select("l", "r", "words_a", "names_a", "year_a", "words_b", "names_b", "year_b", "n_a", "n_b", "rare_a", "rare_b").mapInArrow(_featured, "l bigint, r bigint, x array<double>"))
-    total = featured.count()
-    chosen = featured if total <= most_pairs else featured.where(F.pmod(F.xxhash64("l", "r"), F.lit(1_000_000)) < int(1_000_000 * most_pairs / total))
-    model = fit([list(x.x) for x in chosen.orderBy(F.xxhash64("l", "r")).limit(most_pairs).select("x").collect()])
-    z = F.lit(model["bias"])
-    for i, w in enumerate(model["w"]):
-        z = z + F.element_at("x", i + 1) * w
-    confidence = 1 / (1 + F.exp(-(F.lit(model["a"]) * F.greatest(F.lit(-8.0), F.least(F.lit(8.0), z)) + model["b"])))
+    # a planted profile's own author list does not count
+    own = F.col("planted").cast("int")
+    single = (F.coalesce("n_a", F.lit(0)) <= 1 + own) & (F.coalesce("n_b", F.lit(0)) <= 1 + own) & F.coalesce(F.abs(F.col("year_a") - F.col("year_b")) <= 1, F.lit(False))
+    if screen:
+        full = full.where((shared * 2 >= small) & F.when(both_named & ~F.col("planted"), F.arrays_overlap(start("names_a"), start("names_b"))).otherwise(telling | single))
+    featured = settle(full.select("l", "r", "planted", "words_a", "names_a", "year_a", "words_b", "names_b", "year_b", "n_a", "n_b", "rare_a", "rare_b").mapInArrow(_featured, "l bigint, r bigint, planted boolean, x array<double>, label int"))
+    judged = featured.where("label is not null")
+
+    def sample(rows: DataFrame) -> list[tuple[list[float], int]]:
+        total = rows.count()
+        chosen = rows if total <= most_pairs else rows.where(F.pmod(F.xxhash64("l", "r"), F.lit(1_000_000)) < int(1_000_000 * most_pairs / total))
+        return [(list(x.x), x.label) for x in chosen.orderBy(F.xxhash64("l", "r")).limit(most_pairs).select("x", "label").collect()]
+
+    model = fit(sample(judged.where("not planted")), sample(judged.where("planted")))
+    featured = featured.where("not planted")
+
+    def chance(m: dict) -> Column:
+        z = F.lit(m["bias"])
+        for i, w in enumerate(m["w"]):
+            z = z + F.element_at("x", i + 1) * w
+        return 1 / (1 + F.exp(-(F.lit(m["a"]) * F.greatest(F.lit(-8.0), F.least(F.lit(8.0), z)) + m["b"])))
+
+    nameless = F.element_at("x", FEATURES.index("no_names") + 1) > 0
+    confidence = F.when(nameless, chance(model["nameless"])).otherwise(chance(model["named"]))
     matched = featured.select("l", "r", F.round(confidence, 6).alias("confidence")).where(F.col("confidence") >= least)
     out = matched.join(rows_l.select(F.col("pid").alias("l"), F.col("id").alias(left_id)), "l").join(rows_r.select(F.col("pid").alias("r"), F.col("id").alias("__right")), "r")
     return out.select(left_id, F.col("__right").alias(right_id), "confidence")
