@@ -9,7 +9,8 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from scholarlake.functions import ids, text
-from scholarlake.operators import bundle, dedup, graph, joins, outcomes, recovery, reports
+from scholarlake.operators import bundle, dedup, graph, outcomes, reports
+from scholarlake.plans import dedup as sql
 from scholarlake.session import shared_folder
 from scholarlake.sources import readers, schemas, writers
 from scholarlake.streaming import refusals
@@ -252,6 +253,9 @@ ORACLES = {
     "graph_seed_errors": r"""select record_id, case when doi is null then null when regexp_matches(trim(doi), '^10\.\d{4,9}/\S+$') then 'DOI:' || trim(doi) end as seed, case when doi is null then 'ambiguous number' when regexp_matches(trim(doi), '^10\.\d{4,9}/\S+$') then null when trim(doi) = '' then 'empty' else 'unrecognised' end as error from paper_records""",
     "graph_seed_outcomes": "select count(*) filter (c_custkey % 3 = 0) as citations_failed, count(*) filter (c_custkey % 4 = 0) as references_failed, count(*) filter (c_custkey % 12 = 0) as both_failed, count(*) filter (c_custkey % 3 <> 0 and c_custkey % 4 <> 0) as both_success from customer",
     "sampled_papers": "select cat, pos, citationCount from search_papers qualify row_number() over (partition by cat order by pos) <= 4",
+    "unique_papers": f"""with {sql.WITHIN}, {sql.ACROSS}, {sql.INTER.replace("from search_papers", "from w2")}, m as (select {sql.PID} pid, list(distinct cat) cats from search_papers where {sql.PID} is not null group by 1),
+        u as (select norm, unnest(coalesce(cats, [cat])) x from t left join m on m.pid = {sql.PID} where norm <> ''), k as (select norm, count(distinct x) k from u group by 1)
+        select own as owner, count(*) as papers, sum(k)::bigint as memberships, count(*) filter (own <> cat) as swapped from inter join k using (norm) group by 1""",
     "acquisition_report": """with n as (select *, nullif(trim(paperId), '') k from search_papers), w as (select * from n where k is not null qualify row_number() over (partition by cat, k order by pos) = 1 union all select * from n where k is null), a as (select * from w where k is not null qualify row_number() over (partition by k order by cat_pos, pos) = 1 union all select * from w where k is null),
         c as (select cat, (select count(*) from n where n.cat = x.cat) r, (select count(*) from w where w.cat = x.cat) s, (select count(*) from a where a.cat = x.cat) t from (select distinct cat from n) x), u as (select 0 o, cat, r, s, t from c union all select 1, 'TOTAL', sum(r), sum(s), sum(t) from c)
         select (3 + row_number() over (order by o, cat))::int as line_no, concat_ws(' ', cat, r, r - s, s, s - t, t) as line from u""",
