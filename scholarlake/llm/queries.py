@@ -118,4 +118,13 @@ ORACLES = {
         s as (select a.t a, b.t b, count(*) c from k a join k b on a.x = b.x and a.t < b.t group by 1, 2)
         select a as title_a, b as title_b from s join n p on p.t = a join n q on q.t = b
         where 10 * c >= 7 * (p.n + q.n - c)""",
+    "p5_groups": """
+        with recursive v as (select distinct normalized_title t from intra_title_duplicates where normalized_title is not null and trim(normalized_title) <> ''),
+        w as (select distinct t, unnest(string_split(t, ' ')) x from v),
+        k as (select t, x from w where x <> ''),
+        n as (select t, count(*) n from k group by t),
+        s as (select a.t a, b.t b, count(*) c from k a join k b on a.x = b.x and a.t <> b.t group by 1, 2),
+        p as (select a, b from s join n p on p.t = a join n q on q.t = b where 10 * c >= 7 * (p.n + q.n - c)),
+        r as (select a title, b other from p union select r.title, p.b from r join p on p.a = r.other)
+        select t as title, coalesce(least(t, (select min(other) from r where r.title = t)), t) as class, (select count(*) from p where p.a = t)::int as links from v""",
 }
