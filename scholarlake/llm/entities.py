@@ -58,6 +58,8 @@ SURNAME_HASHES, TITLE_HASHES, RARE_WORDS = 3, 8, 2
 
 @lru_cache(maxsize=1 << 16)
 def fold(text: str) -> str:
+    if text.isascii():
+        return text.lower()
     text = unicodedata.normalize("NFKD", text.replace("ß", "ss").replace("ø", "o").replace("Ø", "O").replace("ł", "l").replace("Ł", "L").replace("ı", "i").replace("æ", "ae")).casefold()
     return "".join(c for c in text if not unicodedata.combining(c))
 
@@ -74,6 +76,7 @@ def title_words(title: str | None) -> list[str]:
     return _WORD.findall(fold(title))
 
 
+@lru_cache(maxsize=1 << 16)
 def person(name: str) -> tuple[str, str] | None:
     """(surname, initial) of one author's name."""
     if not name.isascii() and (found := mojibake.examine(name)):

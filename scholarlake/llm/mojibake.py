@@ -362,6 +362,7 @@ def _contexts() -> list[tuple[str, re.Pattern, str, str]]:
 
 
 _CONTEXTS = _contexts()
+_CONTEXT_SIGNS = frozenset("".join(sign for sign, *_ in _CONTEXTS))
 
 
 #: Number of damaged spans, encoding pairs, whether characters are lost, the text.
@@ -396,7 +397,7 @@ def _as_alphabet(now: str) -> Found:
     """One single-byte alphabet read as another: signs known by their place are put
     right first, then words."""
     n, pairs, lossy = 0, set(), False
-    for sign, rx, right, pair in _CONTEXTS:
+    for sign, rx, right, pair in () if _CONTEXT_SIGNS.isdisjoint(now) else _CONTEXTS:
         if sign in now:
             now, found = rx.subn(right, now)
             if found:
@@ -410,6 +411,8 @@ def _as_alphabet(now: str) -> Found:
         places.append((start, stop if stop >= 0 else len(now)))
     bare = [now[a:b].strip(_EDGE) for a, b in places]
     verdicts = [_verdict(w) for w in bare]
+    if not n and not any(reason for reason, _ in verdicts):
+        return 0, pairs, False, now
     odd = {w for w, (_, again) in zip(bare, verdicts) if again}
     pair, right_words = (_whole(sorted(set(bare) - {""})) if odd else None) or ("", {})
     if not odd & set(right_words):
