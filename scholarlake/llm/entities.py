@@ -242,6 +242,12 @@ def features(wa: list[str], na: list[str], ya: int | None, wb: list[str], nb: li
 _PAIR = pa.schema([("l", pa.int64()), ("r", pa.int64()), ("planted", pa.bool_()), ("x", pa.list_(pa.float64())), ("label", pa.int32())])
 
 
+def without_names(x: list[float], alone: bool) -> list[float]:
+    """The features that a pair would have if a side named no authors."""
+    masked = dict.fromkeys(("names", "first", "initials", "title_names"), 0.0) | {"no_names": 1.0, "alone": float(alone)}
+    return [masked.get(n, v) for n, v in zip(FEATURES, x)]
+
+
 def _featured(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """The features of each pair, and its weak label.  A planted pair has the features
     it would have without names, and the label that its names give it."""
@@ -252,7 +258,10 @@ def _featured(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             x = features(wa, na, ya, wb, nb, yb, ra, rb, (ta or 0) <= 1 and (tb or 0) <= 1)
             label = weak_label(x)
             if planted:
-                x = features(wa, [], ya, wb, nb, yb, ra, rb, (ta or 1) <= 2 and (tb or 0) <= 2)
+                gap = abs(ya - yb) if ya and yb else None
+                open_ = not set(wa) & ra & set(wb)
+                single = (ta or 1) <= 2 and (tb or 0) <= 2
+                x = without_names(x, bool(open_ and (not single or x[2] > 0.25 or gap is None or gap > 1)))
             rows.append((a, b, planted, x, label))
         if rows:
             yield pa.RecordBatch.from_arrays([pa.array(c, t.type) for c, t in zip(zip(*rows), _PAIR)], schema=_PAIR)
