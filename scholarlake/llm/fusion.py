@@ -16,8 +16,8 @@ survives.  Its fields are then fused one by one from the search rows of the grou
 with the survivor's own rows for the latest moment and those of the others, which
 only complete it, for the one before.
 
-Only items with more than one value go through the rounds; of the others, equal sets
-of sources are counted natively.  Values longer than a hash travel as their hash and
+Only items with more than one value go through the rounds, those of the same pattern
+of sources and moments once; of the others, equal sets of sources are counted natively.  Values longer than a hash travel as their hash and
 are joined to the winners.  A group of an item and a value holds each source at most
 once, so it is bounded by the number of sources (``MOST_SOURCES``, checked), and only
 tables of sources and of pairs of sources reach the driver.
@@ -42,6 +42,8 @@ from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 from scholarlake.llm.common import settle
 
 MOST_SOURCES = 5000
+#: Claims of an item up to which it is compared with others as a whole.
+MOST_CLAIMS = 64
 #: Rounds at most, and the change of an accuracy that counts as none.
 ROUNDS, STILL = 8, 0.002
 #: Weight of a claim against one of the item's next moment: with accuracies kept from
@@ -159,22 +161,42 @@ def _posteriors(contested: DataFrame, item: list[str], model: Model) -> DataFram
     voted = contested.mapInArrow(partial(_votes, sent=sent), schema)
     weight = F.col("vote") * F.pow(F.lit(STALE), F.col("back"))
     # one exchange by item serves the values and the windows over them
-    summed = voted.repartition(*item).groupBy(*item, "vid").agg(F.sum(weight).alias("vote"), F.array_distinct(F.flatten(F.collect_list("sources"))).alias("sources"))
+    carried = [F.max("times").alias("times")] if "times" in contested.columns else []
+    summed = voted.repartition(*item).groupBy(*item, "vid").agg(F.sum(weight).alias("vote"), F.array_distinct(F.flatten(F.collect_list("sources"))).alias("sources"), *carried)
     of_item = Window.partitionBy(*item)
     summed = summed.withColumn("top", F.max(F.struct("vote", "vid")).over(of_item))
     chance = F.exp(F.greatest(F.col("vote") - F.col("top.vote"), F.lit(-50.0)))
     probability = chance / F.sum(chance).over(of_item)
-    return summed.select(*item, "vid", "sources", probability.alias("probability"), (F.col("vid") == F.col("top.vid")).alias("best"))
+    return summed.select(*item, "vid", "sources", probability.alias("probability"), (F.col("vid") == F.col("top.vid")).alias("best"), *(["times"] if carried else []))
 
 
 def _settled_claims(claims: DataFrame, item: list[str], order: str | None) -> DataFrame:
-    """Rows (item, vid, back, sources, contested), each item, value and moment once."""
+    """Rows (item, vid, back, sources, contested, claims), each item, value and moment
+    once; ``claims`` is the number of rows of the item."""
     moment = F.col(order) if order else F.lit(0)
     at = claims.select(*item, "vid", "source", moment.alias("at")).groupBy(*item, "vid", "at").agg(F.collect_set("source").alias("sources"))
     of_item = Window.partitionBy(*item)
     back = F.dense_rank().over(of_item.orderBy(F.col("at").desc_nulls_last())) - 1
     contested = F.min("vid").over(of_item) != F.max("vid").over(of_item)
-    return settle(at.select(*item, "vid", back.alias("back"), F.array_sort("sources").alias("sources"), contested.alias("contested")))
+    return settle(at.select(*item, "vid", back.alias("back"), F.array_sort("sources").alias("sources"), contested.alias("contested"), F.count("*").over(of_item).alias("claims")))
+
+
+def _patterns(settled: DataFrame, item: list[str]) -> DataFrame:
+    """The contested items as rows (pattern, vid, back, sources, times), those of the
+    same pattern once: what the rounds learn of an item follows from who says what and
+    when, not from the values, of which only the order counts.  Items of more than
+    ``MOST_CLAIMS`` claims are not collected; each is a pattern of its own."""
+    contested = settled.where("contested")
+    small = contested.where(F.col("claims") <= MOST_CLAIMS)
+    nth = F.dense_rank().over(Window.partitionBy(*item).orderBy("vid"))
+    said = F.struct(nth.alias("nth"), "back", "sources").alias("said")
+    alike = small.select(*item, said).groupBy(*item).agg(F.array_sort(F.collect_list("said")).alias("said")).groupBy("said").agg(F.count("*").alias("times"))
+    alike = alike.select(F.md5(F.to_json("said")).alias("pattern"), "times", F.explode("said").alias("s"))
+    alike = alike.select("pattern", F.lpad(F.col("s.nth").cast("string"), 6, "0").alias("vid"), "s.back", "s.sources", "times")
+    large = contested.where(F.col("claims") > MOST_CLAIMS)
+    own = F.md5(F.to_json(F.struct(*item)))
+    large = large.select(F.concat(F.lit("own "), own).alias("pattern"), "vid", "back", "sources", F.lit(1).cast("bigint").alias("times"))
+    return settle(alike.unionByName(large))
 
 
 def estimate(settled: DataFrame, item: list[str]) -> Model:
@@ -186,12 +208,13 @@ def estimate(settled: DataFrame, item: list[str]) -> Model:
     times = F.count("*").alias("times")
     alone = settled.where("not contested").groupBy(*item).agg(united).groupBy("sources").agg(times)
     alone = _collected(alone.withColumns({"probability": F.lit(1.0), "best": F.lit(True)}).mapInArrow(partial(_statistics, alone=True), _STAT_SQL))
-    contested = settled.where("contested").drop("contested")
-    overlap = alone["overlap"] + _collected(contested.groupBy(*item).agg(united).groupBy("sources").agg(times).mapInArrow(_overlaps, _STAT_SQL))["overlap"]
+    contested = _patterns(settled, item)
+    spoken = contested.groupBy("pattern").agg(united, F.max("times").alias("n")).groupBy("sources").agg(F.sum("n").alias("times"))
+    overlap = alone["overlap"] + _collected(spoken.mapInArrow(_overlaps, _STAT_SQL))["overlap"]
     model = Model()
     for _ in range(ROUNDS):
         before = dict(model.accuracy)
-        rows = _posteriors(contested, item, model).select("sources", "probability", "best", F.lit(1).alias("times"))
+        rows = _posteriors(contested, ["pattern"], model).select("sources", "probability", "best", "times")
         stats = _collected(rows.mapInArrow(partial(_statistics, alone=False), _STAT_SQL))
         source = {s: (alone["source"][s] + stats["source"][s], alone["right"][s] + stats["right"][s]) for s in {*alone["source"], *stats["source"]}}
         model.learn(source, alone["true"] + stats["true"], stats["false"], overlap)
@@ -213,7 +236,7 @@ def fuse(claims: DataFrame, item: list[str], order: str | None = None) -> DataFr
     settled = _settled_claims(claims, item, order)
     model = estimate(settled, item)
     sure = settled.where("not contested").select(*item, "vid", F.lit(1.0).alias("probability")).distinct()
-    won = _posteriors(settled.where("contested").drop("contested"), item, model).where("best").select(*item, "vid", F.round("probability", 6).alias("probability"))
+    won = _posteriors(settled.where("contested").drop("contested", "claims"), item, model).where("best").select(*item, "vid", F.round("probability", 6).alias("probability"))
     winners = sure.unionByName(won)
     long_ = F.col("vid").startswith("#")
     texts = claims.where(long_).groupBy(F.col("vid").alias("__vid")).agg(F.first("value").alias("value"))

@@ -107,6 +107,18 @@ def test_fusion_beats_the_majority_on_planted_truth(spark):
     assert len(got) == 300 and right >= 270 and right >= majority + 20, (right, majority)
 
 
+def test_items_alike_and_items_alone_teach_the_same(spark, monkeypatch):
+    r = random.Random(9)
+    claims = [(i, f"s{k}", r.choice(["x", "y", "z"]) if k else "x", r.randrange(3)) for i in range(60) for k in range(5)]
+    frame = spark.createDataFrame(claims, "item bigint, source string, vid string, at int")
+    settled = fusion._settled_claims(frame, ["item"], "at")
+    one = fusion.estimate(settled, ["item"])
+    monkeypatch.setattr(fusion, "MOST_CLAIMS", 0)
+    two = fusion.estimate(settled, ["item"])
+    assert one.accuracy.keys() == two.accuracy.keys() and all(abs(one.accuracy[s] - two.accuracy[s]) < 1e-6 for s in one.accuracy)
+    assert all(abs(one.copies[p] - two.copies[p]) < 1e-6 for p in one.copies)
+
+
 def test_a_newer_moment_outweighs_older_ones_and_ties_are_fused(spark):
     rows = [(1, f"s{k}", "old", 1) for k in range(30)] + [(1, "s1", "new", 2)]
     rows += [(2, s, "a" if s != "odd" else "b", 5) for s in ("s1", "s2", "odd")] + [(2, "s9", "c", None)]
