@@ -115,13 +115,14 @@ def filled(papers: DataFrame, hits: DataFrame, scraped: DataFrame | None = None)
 
 
 def by_source(filled_: DataFrame) -> DataFrame:
-    """Recovered abstracts by source, and their share of all that were missing."""
+    """Recovered abstracts by source, the most frequent first, and their share of all
+    that were missing."""
     was = filled_.where("abstract_source is null or abstract_source <> 'original'")
     per = was.groupBy("abstract_source").agg(F.count("*").alias("n"))
     # one row a source by now, so the total is a window over a handful of rows
     total = F.sum("n").over(Window.partitionBy(F.lit(0)))
     per = per.withColumn("missing", total).where("abstract_source is not null")
-    return per.select(F.col("abstract_source").alias("source"), F.col("n").alias("recovered"), F.round(100.0 * F.col("n") / F.col("missing"), 2).alias("rate"))
+    return per.select(F.col("abstract_source").alias("source"), F.col("n").alias("recovered"), F.round(100.0 * F.col("n") / F.col("missing"), 2).alias("rate")).orderBy(F.col("recovered").desc(), "source")
 
 
 def by_publisher(filled_: DataFrame) -> DataFrame:

@@ -100,7 +100,7 @@ def _bundle(s, d):
 
 
 def _violations(s, d):
-    names = [r.id for r in _t(s, d, "search_queries").select("id").collect()]
+    names = [r.id for r in _asked_queries(s, d)]
     return bundle.violations(_bundle(s, d), "keyword_search", names).select("idx", "violation")
 
 
@@ -122,8 +122,16 @@ def _publishers(s, d):
     return recovery.by_publisher(r).select(F.coalesce("cat", F.lit("TOTAL")).alias("cat"), "publisher", F.col("missing").cast("bigint").alias("missing"), F.col("recovered").cast("bigint").alias("recovered"))
 
 
+def _asked_queries(s, d, most: int = 10_000):
+    """The queries of a query table; they become part of the plan, so their number is checked."""
+    rows = _t(s, d, "search_queries").limit(most + 1).collect()
+    if len(rows) > most:
+        raise ValueError(f"more than {most} queries cannot be one plan")
+    return rows
+
+
 def _search(s, d):
-    q = [(r.id, r.cat_pos, r.query, r.params) for r in _t(s, d, "search_queries").collect()]
+    q = [(r.id, r.cat_pos, r.query, r.params) for r in _asked_queries(s, d)]
     return search.run_queries(_t(s, d, "search_papers"), q).select("cat", "pos", "query")
 
 

@@ -25,9 +25,9 @@ def _place(spark: SparkSession) -> str:
 
 
 def _pages(s, d):
-    """Search rows as recorded result pages of three rows, read again."""
+    """Search rows as recorded result pages of a hundred rows, read again."""
     p, place = _t(s, d, "search_papers"), _place(s)
-    page = p.select("cat", F.format_string("%012d", F.floor(F.col("pos") / 3)).alias("page"), F.col("pos"), F.struct("paperId", "title", "year", "citationCount").alias("r"))
+    page = p.select("cat", F.format_string("%012d", F.floor(F.col("pos") / 100)).alias("page"), F.col("pos"), F.struct("paperId", "title", "year", "citationCount").alias("r"))
     made = page.groupBy("cat", "page").agg(F.transform(F.array_sort(F.collect_list(F.struct("pos", "r"))), lambda x: x["r"]).alias("data"))
     # a file a page: the name of the file is the order
     made.repartitionByRange("cat", "page").sortWithinPartitions("cat", "page").select("cat", "data").write.option("maxRecordsPerFile", 1).partitionBy("cat").json(place)

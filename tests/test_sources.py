@@ -51,3 +51,22 @@ def test_fetch_keeps_what_was_asked(spark):
     papers = spark.createDataFrame([("DOI:10.1/X", "T")], "lookup_id string, title string")
     got = [(r.input_pos, r.fetch_status) for r in graph.fetch_by_id(asked, papers).orderBy("input_pos").collect()]
     assert got == [(0, "found"), (1, "invalid_id"), (2, "not_found"), (3, "not_found")]
+
+
+def test_commands(spark, tmp_path):
+    from scholarlake.__main__ import main
+
+    pages = tmp_path / "pages" / "cat=a"
+    pages.mkdir(parents=True)
+    (pages / "1.json").write_text(json.dumps({"total": 2, "data": [{"paperId": "p1", "title": "One title", "citationCount": 1}, {"paperId": "p2", "title": "Another", "citationCount": 2}]}))
+    (pages / "2.json").write_text(json.dumps({"total": 1, "data": [{"paperId": "p1", "title": "One title"}]}))
+    (tmp_path / "q.json").write_text(json.dumps({"queries": {"a": {"query": "tides"}}}))
+    main(["preview", f"{tmp_path}/pages/cat=*", f"{tmp_path}/q.json"], spark)
+    made = main(["keyword", f"{tmp_path}/pages/cat=*", f"{tmp_path}/q.json", f"{tmp_path}/out"], spark)
+    assert made["counts"]["total_unique_papers"] == 2 and made["queries"] == {"a": "tides"}
+    spark.createDataFrame([("DOI:10.1000/x", "p9", {"DOI": "10.1000/x"})], "lookup_id string, paperId string, externalIds map<string,string>").write.parquet(f"{tmp_path}/papers")
+    assert main(["by-id", "10.1000/X, nonsense", f"{tmp_path}/papers", f"{tmp_path}/ids"], spark)["run_type"] == "by_id"
+    edge = {"seed": "s", "edge_type": "citation", "pos": 0, "is_influential": True, "intents": [], "contexts": [], "paper": {"paperId": "p", "publicationDate": "2020-01-01"}}
+    (tmp_path / "edges.json").write_text("\n".join(json.dumps(edge | {"edge_type": t}) for t in ("citation", "reference")))
+    assert main(["citations", f"{tmp_path}/edges.json", f"{tmp_path}/g", "--references"], spark)["counts"]["total_unique_papers"] == 1
+    assert main(["citations", f"{tmp_path}/edges.json", f"{tmp_path}/h"], spark)["counts"]["total_unique_papers"] == 2
