@@ -228,18 +228,27 @@ def value_id(value: Column) -> Column:
     return F.when(F.length(value) <= 32, F.concat(F.lit("="), value)).otherwise(F.concat(F.lit("#"), F.md5(value)))
 
 
-def fuse(claims: DataFrame, item: list[str], order: str | None = None) -> DataFrame:
+def long_texts(values: DataFrame) -> DataFrame:
+    """Each value that travels as a hash, once, with the hash (column ``value``)."""
+    named = values.select(value_id(F.col("value")).alias("__vid"), "value").where(F.col("__vid").startswith("#"))
+    return named.groupBy("__vid").agg(F.first("value").alias("value"))
+
+
+def fuse(claims: DataFrame, item: list[str], order: str | None = None, texts: DataFrame | None = None) -> DataFrame:
     """The columns of ``item``, ``value`` of the highest posterior and its
     ``probability``, of claims (item columns, source, value and ``order``).  With
-    ``order``, claims of an item's later moments outweigh those of earlier ones."""
-    claims = claims.where("value is not null").withColumn("vid", value_id(F.col("value")))
+    ``order``, claims of an item's later moments outweigh those of earlier ones.  Claims
+    may hold ``vid`` (``value_id``) instead of the value, with ``texts`` of the long ones."""
+    if texts is None:
+        claims = claims.where("value is not null")
+        texts = long_texts(claims)
+        claims = claims.withColumn("vid", value_id(F.col("value")))
     settled = _settled_claims(claims, item, order)
     model = estimate(settled, item)
     sure = settled.where("not contested").select(*item, "vid", F.lit(1.0).alias("probability")).distinct()
     won = _posteriors(settled.where("contested").drop("contested", "claims"), item, model).where("best").select(*item, "vid", F.round("probability", 6).alias("probability"))
     winners = sure.unionByName(won)
     long_ = F.col("vid").startswith("#")
-    texts = claims.where(long_).groupBy(F.col("vid").alias("__vid")).agg(F.first("value").alias("value"))
     found = winners.where(long_).join(texts, F.col("vid") == F.col("__vid")).select(*item, "value", "probability")
     return winners.where(~long_).select(*item, F.expr("substring(vid, 2)").alias("value"), "probability").unionByName(found)
 
@@ -325,9 +334,11 @@ def completed(log: DataFrame, papers: DataFrame) -> DataFrame:
     members = _members(log).select(_group().alias("g"), "paper").distinct().join(best.select("g", "survivor_id"), "g")
     rows = papers.select(paper_id("paperId").alias("paper"), F.col("cat").alias("source"), F.concat(*[_claims(f, k) for f, k in kinds.items()]).alias("given")).where("paper is not null")
     rows = rows.withColumn("given", F.filter("given", lambda x: x["value"].isNotNull()))
-    given = members.join(rows, "paper").withColumn("own", (F.col("paper") == F.col("survivor_id")).cast("int"))
-    claims = given.select("g", "source", "own", F.explode("given").alias("f"))
-    claims = settle(claims.select("g", "f.field", F.coalesce("f.key", F.lit("")).alias("key"), F.coalesce("source", F.lit("")).alias("source"), "f.value", "own").distinct())
-    wide = fuse(claims, ["g", "field", "key"], order="own").groupBy("g").agg(*[_rebuilt(f, k).alias(f) for f, k in kinds.items()])
+    # long values are kept once, apart from the groups that claim them
+    texts = long_texts(rows.select(F.explode("given.value").alias("value")))
+    thin = F.transform("given", lambda x: F.struct(x["field"].alias("field"), F.coalesce(x["key"], F.lit("")).alias("key"), value_id(x["value"]).alias("vid")))
+    given = members.join(rows.select("paper", "source", thin.alias("given")), "paper").withColumn("own", (F.col("paper") == F.col("survivor_id")).cast("int"))
+    claims = given.select("g", F.coalesce("source", F.lit("")).alias("source"), "own", F.explode("given").alias("f")).select("g", "f.field", "f.key", "source", "f.vid", "own")
+    wide = fuse(claims, ["g", "field", "key"], "own", texts).groupBy("g").agg(*[_rebuilt(f, k).alias(f) for f, k in kinds.items()])
     out = best.withColumnRenamed("citations", "latest_citations").join(wide, "g", "left").drop("g")
     return out.withColumn("n_fields", sum((F.col(f).isNotNull().cast("int") for f in kinds), F.lit(0)))
