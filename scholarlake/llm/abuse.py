@@ -161,6 +161,8 @@ HOMOGLYPHS = str.maketrans("асеорхуіјѕԁһкмнтвАСЕОРХУІЈ
 RADIUS = 8
 #: Learned words that a window without any term must hold, to count as bad.
 LEARNED_ALONE = 3
+#: Chance of a rating to be wrong.
+WRONG = 0.1
 #: Share of documents assumed to be bad at most, when ratings are set against the corpus.
 MOST_BAD = 0.05
 #: Share of a learned word's documents that could be bad, at least.
@@ -487,7 +489,7 @@ def taught(rated: list[tuple[str, float, float]], words: Words, held: dict[str,
             bad[w] += p >= 0.5
     out = {}
     for w, n in bad.items():
-        if n >= 3 and n >= 0.8 * every[w] and (len(w) > 3 or not w.isascii()):
+        if n >= 3 and n >= (1 - 3 * WRONG) * every[w] and (len(w) > 3 or not w.isascii()):
             expected = n / bad_texts * MOST_BAD * documents
             posterior = min(0.95, (expected + 0.5) / (held.get(w, 0) + 1))
             if posterior >= LEAST_POSTERIOR:
@@ -495,10 +497,10 @@ def taught(rated: list[tuple[str, float, float]], words: Words, held: dict[str,
     return out
 
 
-def fit(rated: list[tuple[str, float, float]], ordinary: frozenset[str], learned: dict[str, float], steps: int = 400, strength: float = 0.02) -> dict[str, float]:
+def fit(rated: list[tuple[str, float, float]], ordinary: frozenset[str], learned: dict[str, float], steps: int = 400, strength: float = 0.1) -> dict[str, float]:
     """Logistic weights for (text, share rated as bad, weight), drawn towards the
-    prior by ridge regularisation and kept within ``reach`` of it, so that a few wrong
-    ratings overturn nothing.  The features are kept as lists of places, so
+    prior by ridge regularisation and kept within ``reach`` of it.  A rating is taken to
+    be wrong with the chance ``WRONG``, so one that contradicts all others says little.  The features are kept as lists of places, so
     that memory follows the texts and not texts times features."""
     prior = PRIOR | {f"w:{w}": v for w, v in learned.items()}
     words = Words(ordinary, frozenset(learned))
@@ -522,7 +524,9 @@ def fit(rated: list[tuple[str, float, float]], ordinary: frozenset[str], learned
     for k in range(steps):
         ahead = w + k / (k + 3) * (w - before)
         z = np.bincount(rows, ahead[places], len(made))
-        off = much * (1 / (1 + np.exp(-np.clip(z, -30, 30))) - y)
+        p = 1 / (1 + np.exp(-np.clip(z, -30, 30)))
+        seen_as = WRONG + (1 - 2 * WRONG) * p
+        off = much * (1 - 2 * WRONG) * p * (1 - p) * (seen_as - y) / (seen_as * (1 - seen_as))
         slope = np.bincount(places, off[rows], len(names)) + pull / 10 * (ahead - start)
         before, w = w, np.clip(ahead - step * slope, start - reach, start + reach)
     return {n: float(w[i]) for n, i in names.items()}
