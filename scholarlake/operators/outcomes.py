@@ -32,6 +32,39 @@ def attempt_reason(recently: Column) -> Column:
     )
 
 
+def failure_code(kind: Column, message: Column) -> Column:
+    """The code of an error by its kind: metadata, resolution, download or other."""
+    nothing = F.coalesce(message.contains("No downloadable source candidate found"), F.lit(False))
+    return (
+        F.when(kind == "metadata", "metadata_fetch_failed")
+        .when(kind == "resolution", F.when(nothing, "unresolved_no_legal_pdf").otherwise("resolution_failed"))
+        .when(kind == "download", "download_failed_all_candidates")
+        .otherwise("pipeline_error")
+    )
+
+
+def statuses(results: DataFrame) -> DataFrame:
+    """``status`` of results (``record_class terminal downloaded reused_existing error_kind
+    error failure_reason``): what is no article is skipped and has no reason for a failure."""
+    done = F.coalesce("downloaded", F.lit(False))
+    skipped = F.coalesce("terminal", F.lit(False))
+    status = (
+        F.when(skipped, F.concat(F.lit("skipped_"), "record_class"))
+        .when(done, F.when(F.coalesce("reused_existing", F.lit(False)), "already_exists").otherwise("downloaded"))
+        .otherwise(F.concat(F.lit("failed_"), failure_code(F.col("error_kind"), F.col("error"))))
+    )
+    return results.withColumns({"status": status, "failure_reason": F.when(~skipped & ~done, F.col("failure_reason"))})
+
+
+def withdrawals(attempts: DataFrame, hits: DataFrame) -> DataFrame:
+    """Papers (``paper_key arxiv_id``) whose preprint's known address answered 404, with the
+    archive's own note of the withdrawal where a hit (``arxiv_id comment``) holds one."""
+    gone = attempts.where((F.col("source_name") == "arxiv") & (F.col("http_status") == 404)).select("paper_key", "arxiv_id").distinct()
+    noted = hits.where(F.lower("comment").contains("withdrawn")).groupBy("arxiv_id").agg(F.min("comment").alias("note"))
+    reason = F.concat(F.lit("arxiv: "), F.coalesce("note", F.lit("404 for a known id")))
+    return gone.join(noted, "arxiv_id", "left").select("paper_key", F.lit("withdrawn").alias("record_class"), reason.alias("class_reason"))
+
+
 def precedence(reason: Column) -> Column:
     return F.array_position(F.array(*[F.lit(r) for r in REASONS]), reason)
 

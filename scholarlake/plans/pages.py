@@ -210,7 +210,25 @@ def _recent(s, d):
     return r.select("record_id", outcomes.recent(F.col("publication_date"), F.lit("2020-06-30").cast("date")).alias("recent"))
 
 
+def _statuses(s, d):
+    """Results in turn: skipped, done, found, and failed of each kind."""
+    e = _t(s, d, "events").select("event_id", (F.col("event_id") % 8).alias("n"))
+    kind = _case("'download'", "'download'", "cast(null as string)", "'metadata'", "'resolution'", "'resolution'", "'download'", "'other'")
+    r = e.select("event_id", F.when(F.col("n") == 0, "poster").alias("record_class"), (F.col("n") == 0).alias("terminal"), F.col("n").isin(1, 2).alias("downloaded"), (F.col("n") == 2).alias("reused_existing"), kind.alias("error_kind"), F.when(F.col("n") == 4, "No downloadable source candidate found for x").alias("error"), F.lit("not_free").alias("failure_reason"))
+    return outcomes.statuses(r).select("event_id", "status", "failure_reason")
+
+
+def _withdrawn(s, d):
+    """Preprints whose address is gone, a third of them with a note."""
+    h = _t(s, d, "arxiv_hits")
+    tries = h.select(F.concat(F.lit("h"), "hit_id").alias("paper_key"), "arxiv_id", F.lit("arxiv").alias("source_name"), F.when(F.col("hit_id") % 2 == 0, 404).otherwise(200).alias("http_status"))
+    notes = h.select("arxiv_id", F.when(F.ascii(F.substring("arxiv_id", -1, 1)) % 3 == 0, "This paper has been Withdrawn").otherwise("12 pages").alias("comment"))
+    return outcomes.withdrawals(tries, notes).select("paper_key", "class_reason")
+
+
 QUERIES = {
+    "result_statuses": _statuses,
+    "withdrawn_preprints": _withdrawn,
     "page_abstracts": _page_abstracts,
     "page_links": _page_links,
     "cvf_pages": _cvf,
@@ -232,6 +250,9 @@ _N = "(select record_id, record_id % {0} n, concat('', record_id) id, " + _WORDS
 _K = r"trim(regexp_replace(regexp_replace(lower(trim(coalesce(title, ''))), '[^a-z0-9\s\x{85}\x{A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}\x0B\x1C-\x1F]+', ' ', 'g'), '[\s\x{85}\x{A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}\x0B\x1C-\x1F]+', ' ', 'g'))"
 _SUR = "list_filter(list_transform({0}, lambda n: case when contains(n, ',') then trim(split_part(lower(trim(n)), ',', 1)) else regexp_extract(lower(trim(n)), '[^ ]*$') end), lambda s: s <> '')"
 ORACLES = {
+    "result_statuses": """select event_id, case event_id % 8 when 0 then 'skipped_poster' when 1 then 'downloaded' when 2 then 'already_exists' when 3 then 'failed_metadata_fetch_failed' when 4 then 'failed_unresolved_no_legal_pdf'
+        when 5 then 'failed_resolution_failed' when 6 then 'failed_download_failed_all_candidates' else 'failed_pipeline_error' end as status, case when event_id % 8 > 2 then 'not_free' end as failure_reason from events""",
+    "withdrawn_preprints": "select distinct 'h' || hit_id as paper_key, 'arxiv: ' || case when ascii(right(arxiv_id, 1)) % 3 = 0 then 'This paper has been Withdrawn' else '404 for a known id' end as class_reason from arxiv_hits where hit_id % 2 = 0",
     "page_abstracts": f"select record_id, case when n < 6 then words end as abstract from {_N.format(7)}",
     "page_links": f"""select record_id, case n when 0 then 'https://files.host.example/' || id || '.pdf' when 1 then 'https://www.host.example/f/' || id || '.pdf' when 2 then 'https://www.host.example/index.php/j/article/download/' || id || '/1'
         when 3 then 'https://www.host.example/a/p/' || id || '.pdf?download=1' end as link, case when n < 2 then 0 when n = 5 then -1 else 2 end as anchors, case when n = 0 then 'https://files.host.example/' || id || '.pdf' end as named from {_N.format(6)}""",

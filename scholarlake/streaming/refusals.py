@@ -18,19 +18,23 @@ def _step(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Ite
     times, until = state.get if state.exists else ([], float("-inf"))
     times, rows = list(times), []
     for at in sorted(t for b in batches for t in b["at"]):
-        times = [t for t in times if t >= at - WINDOW_SECONDS] + [at]
-        cooloff = float(LADDER[min(len(times), len(LADDER)) - 1])
+        times.append(at)
+        recent = sum(at - WINDOW_SECONDS <= t <= at for t in times)
+        cooloff = float(LADDER[min(recent, len(LADDER)) - 1])
         newly = until <= at
         until = max(until, at + cooloff)
-        rows.append((key[0], at, len(times), cooloff, until, newly))
+        rows.append((key[0], at, recent, cooloff, until, newly))
+        newest = max(times)
+        times = [t for t in times if t >= newest - WINDOW_SECONDS]
     state.update((times, until))
     yield pd.DataFrame(rows, columns=["host", "at", "recent", "cooloff", "blocked_until", "newly"])
 
 
 def refusal_stream(refusals: DataFrame) -> DataFrame:
     """The refusal ladder over a stream of (host, at in seconds), with the times
-    of the trailing window as state.  Refusals are expected in order of time;
-    what comes late within a batch is put in order."""
+    of the trailing window as state.  Refusals are expected in order of time; what
+    comes late within a batch is put in order, and what comes in a later batch counts
+    those before it, while rows given out already stay as they are."""
     return refusals.select("host", F.col("at").cast("double").alias("at")).groupBy("host").applyInPandasWithState(_step, _OUT, _STATE, "append", GroupStateTimeout.NoTimeout)
 
 
