@@ -135,10 +135,16 @@ def _profiles(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 @lru_cache(maxsize=1 << 17)
-def _draws(word: str, share: float, number: int) -> tuple[float, ...]:
-    """One exponential draw a hash function, at the weight of the word's rarity."""
+def _draws(word: str, share: float, number: int) -> tuple[tuple[float, str], ...]:
+    """One exponential draw a hash function, at the weight of the word's rarity, with the word."""
     weight = share**-RARITY
-    return tuple(-math.log((_hash(word, s) + 1) / 2.0**64) / weight for s in range(number))
+    return tuple((-math.log((_hash(word, s) + 1) / 2.0**64) / weight, word) for s in range(number))
+
+
+@lru_cache(maxsize=1 << 16)
+def _named(name: str, number: int) -> tuple[tuple[int, str], ...]:
+    """One hash a hash function, with the name."""
+    return tuple((_hash(name, 100 + s), name) for s in range(number))
 
 
 def _rare(words: list[str], known: dict[str, float]) -> list[str]:
@@ -165,12 +171,13 @@ def _blocks(batches: Iterator[pa.RecordBatch], common: Broadcast, hashes: tuple[
     for batch in batches:
         keys, pids, marks = [], [], []
         for pid, words, names, lists, rare in zip(*(c.to_pylist() for c in batch.columns)):
-            drawn = [(w, _draws(w, known.get(w, rarest), hashes[0])) for w in set(words)]
+            drawn = [_draws(w, known.get(w, rarest), hashes[0]) for w in set(words)]
             # half of the hash functions leave rare words out: those may be misspelt
-            plain = [d for d in drawn if d[0] in known] or drawn
-            low = [min(drawn if s % 2 else plain, key=lambda d: (d[1][s], d[0]))[0] for s in range(hashes[0])]
+            plain = [_draws(w, known[w], hashes[0]) for w in set(words) if w in known] or drawn
+            low = [min([d[s] for d in (drawn if s % 2 else plain)])[1] for s in range(hashes[0])]
             two = {"|".join(sorted((low[i], low[(i + 1) % len(low)]))) for i in range(len(low))}
-            lowest = {min(names, key=lambda n: (_hash(n, 100 + s), n)) for s in range(hashes[1])} if names else set()
+            mine_names = [_named(n, hashes[1]) for n in names]
+            lowest = {min([n[s] for n in mine_names])[1] for s in range(hashes[1])} if names else set()
             telling = {_hash(f"rare|{w}", 11) for w in sorted(rare, key=lambda w: _hash(w, 5))[:rare_words]}
             alone = set() if rare else {_hash(f"alone|{t}", 9) for t in ("".join(words), *two)}
             mine = {_hash(f"{n}|{t}", 7) for n in lowest for t in set(low)} | telling | (alone if (lists or 0) <= 1 else set())
@@ -182,29 +189,34 @@ def _blocks(batches: Iterator[pa.RecordBatch], common: Broadcast, hashes: tuple[
             yield pa.RecordBatch.from_arrays([pa.array(keys, pa.int64()), pa.array(pids, pa.int64()), pa.array(marks, pa.bool_())], schema=_KEY)
 
 
+#: Similarity from which words may be the same; below it, only that it is below matters.
+LEAST_ALIKE = 0.8
+
+
 @lru_cache(maxsize=1 << 16)
 def _alike(a: str, b: str) -> float:
+    """The similarity of two words, or 0 where letters that one of them lacks rule out
+    ``LEAST_ALIKE``."""
     if a == b:
         return 1.0
-    if min(len(a), len(b)) < 4 or abs(len(a) - len(b)) > 2:
+    la, lb = len(a), len(b)
+    if min(la, lb) < 4 or abs(la - lb) > 2:
+        return 0.0
+    sa, sb = set(a), set(b)
+    if 2 * min(la - len(sa - sb), lb - len(sb - sa)) < LEAST_ALIKE * (la + lb):
         return 0.0
     return difflib.SequenceMatcher(None, a, b, autojunk=False).ratio()
 
 
-FEATURES = ("title", "squashed", "left_over", "replaced", "names", "first", "initials", "year", "no_year", "no_names", "title_names", "far_year", "conflict", "alone")
-
-
-def features(wa: list[str], na: list[str], ya: int | None, wb: list[str], nb: list[str], yb: int | None, rare_a: set[str], rare_b: set[str], unique: bool) -> list[float]:
-    """Similarities of two profiles.  Words that only differ by a slip are taken
-    for the same; ``replaced`` is the share of telling words that stand on each
-    side without a counterpart: another system, another field, another work.  ``alone``
-    holds where a side names no authors and the title does not stand for one
-    work: it has no rare word and others share it."""
-    sa, sb = set(wa), set(wb)
+@lru_cache(maxsize=1 << 14)
+def _titles(wa: tuple[str, ...], wb: tuple[str, ...]) -> tuple[frozenset[str], frozenset[str], frozenset[str], frozenset[str], float]:
+    """The words of both titles, those of each without a counterpart, and the similarity
+    of the titles without order; profiles of one title meet many times."""
+    sa, sb = frozenset(wa), frozenset(wb)
     only_a, only_b = sa - sb, sb - sa
     for w in sorted(only_a):
-        best = max(only_b, key=lambda x: _alike(w, x), default=None)
-        if best is not None and _alike(w, best) >= 0.8:
+        best = max(sorted(only_b), key=lambda x: _alike(w, x), default=None)
+        if best is not None and _alike(w, best) >= LEAST_ALIKE:
             only_a, only_b = only_a - {w}, only_b - {best}
     # written as one word on a side, as two on the other
     for w, x, y in [(w, x, y) for w in only_a for x in only_b for y in only_b if x + y == w]:
@@ -212,6 +224,19 @@ def features(wa: list[str], na: list[str], ya: int | None, wb: list[str], nb: li
     for w, x, y in [(w, x, y) for w in only_b for x in only_a for y in only_a if x + y == w]:
         only_b, only_a = only_b - {w}, only_a - {x, y}
     squashed = difflib.SequenceMatcher(None, "".join(sorted(wa)), "".join(sorted(wb)), autojunk=False).ratio() if (only_a or only_b) and len(only_a) + len(only_b) < len(sa | sb) else float(not (only_a or only_b))
+    return sa, sb, only_a, only_b, squashed
+
+
+FEATURES = ("title", "squashed", "left_over", "replaced", "names", "first", "initials", "year", "no_year", "no_names", "title_names", "far_year", "conflict", "alone")
+
+
+def features(wa: list[str], na: list[str], ya: int | None, wb: list[str], nb: list[str], yb: int | None, rare_a: set[str], rare_b: set[str], unique: bool) -> list[float]:
+    """Similarities of two profiles.  Words that only differ by a slip are taken
+    for the same; ``replaced`` is the share of telling words that stand on each
+    side without a counterpart: another system, another field, another work.  ``alone``
+    holds where a side names no authors and the title does not stand for one
+    work: it has no rare word and others share it."""
+    sa, sb, only_a, only_b, squashed = _titles(tuple(wa), tuple(wb))
     union = len(sa | sb) or 1
     weight_a = sum(2.0 if w in rare_a else 1.0 for w in only_a)
     weight_b = sum(2.0 if w in rare_b else 1.0 for w in only_b)
