@@ -54,6 +54,8 @@ ONE_LETTER = "ÀàÁáÉéÈèÊêÓóÒòÔôaаАбБвВжЖиИкКоОсС
 
 _RANK = {c: i for i, c in enumerate(RUSSIAN)}
 _BEYOND = re.compile(r"[^\x00-\x7f]+")
+#: What any spelling of the automaton holds: two signs beyond ASCII, or one of a wide script.
+_TWO = re.compile(r"[^\x00-\x7f]{2}|[⺀-힯]")
 _EDGE = "\"'()[]{}<>.,:;!?*_/\\|=+#%&@$^~`"
 
 
@@ -139,6 +141,8 @@ def _plain(spelling: str, wrong: str, right: str) -> bool:
 
 def _spans(text: str) -> list[tuple[int, int, str, str]]:
     """(start, end, wrong encoding, right text) of UTF-8 spans read wrongly."""
+    if not _TWO.search(text):
+        return []
     # all spellings lie beyond ASCII: the automaton runs over such stretches only
     hits = [(run.start() + end, values) for run in _BEYOND.finditer(text) for end, values in automaton().iter_long(run.group())]
     if not hits:
