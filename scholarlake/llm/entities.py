@@ -164,14 +164,6 @@ def _rare(words: list[str], known: dict[str, float]) -> list[str]:
     return sorted({w for w in words if w not in known and len(w) > 3})
 
 
-def _marked(batches: Iterator[pa.RecordBatch], common: Broadcast) -> Iterator[pa.RecordBatch]:
-    """Profiles with the rare words of their titles."""
-    known = common.value
-    for batch in batches:
-        rare = pa.array([_rare(w, known) for w in batch.column(1).to_pylist()], pa.list_(pa.string()))
-        yield pa.RecordBatch.from_arrays([*batch.columns, rare], names=[*batch.schema.names, "rare"])
-
-
 def _blocks(batches: Iterator[pa.RecordBatch], common: Broadcast, hashes: tuple[int, int], rare_words: int, planted: int) -> Iterator[pa.RecordBatch]:
     """(key, pid, planted) of the blocks of each profile: one of the MinHashes of the
     authors with one of the title's weighted MinHashes; rare words by
@@ -183,7 +175,8 @@ def _blocks(batches: Iterator[pa.RecordBatch], common: Broadcast, hashes: tuple[
     rarest = min(known.values(), default=1.0)
     for batch in batches:
         keys, pids, marks = [], [], []
-        for pid, words, names, lists, rare in zip(*(c.to_pylist() for c in batch.columns)):
+        for pid, words, names, lists in zip(*(c.to_pylist() for c in batch.columns)):
+            rare = _rare(words, known)
             drawn = [_draws(w, known.get(w, rarest), hashes[0]) for w in set(words)]
             # half of the hash functions leave rare words out: those may be misspelt
             plain = [_draws(w, known[w], hashes[0]) for w in set(words) if w in known] or drawn
@@ -286,20 +279,24 @@ def without_names(x: list[float], alone: bool) -> list[float]:
     return [masked.get(n, v) for n, v in zip(FEATURES, x)]
 
 
-def _featured(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _featured(batches: Iterator[pa.RecordBatch], common: Broadcast) -> Iterator[pa.RecordBatch]:
     """The features of each pair, and its weak label.  A planted pair has the features
-    it would have without names, and the label that its names give it."""
+    it would have without names, and the label that its names give it.  A pair without
+    names must share a rare word, or have a title of its own (``single``)."""
+    known = common.value
     for batch in batches:
         rows = []
-        for a, b, planted, wa, na, ya, wb, nb, yb, ta, tb, ra, rb in zip(*(c.to_pylist() for c in batch.columns)):
-            ra, rb = set(ra), set(rb)
+        for a, b, planted, single, screened, wa, na, ya, wb, nb, yb, ta, tb in zip(*(c.to_pylist() for c in batch.columns)):
+            ra, rb = set(_rare(wa, known)), set(_rare(wb, known))
+            if screened and not single and (planted or not na or not nb) and ra.isdisjoint(rb):
+                continue
             x = features(wa, na, ya, wb, nb, yb, ra, rb, (ta or 0) <= 1 and (tb or 0) <= 1)
             label = weak_label(x)
             if planted:
                 gap = abs(ya - yb) if ya and yb else None
                 open_ = not set(wa) & ra & set(wb)
-                single = (ta or 1) <= 2 and (tb or 0) <= 2
-                x = without_names(x, bool(open_ and (not single or x[2] > 0.25 or gap is None or gap > 1)))
+                alone = (ta or 1) <= 2 and (tb or 0) <= 2
+                x = without_names(x, bool(open_ and (not alone or x[2] > 0.25 or gap is None or gap > 1)))
             rows.append((a, b, planted, x, label))
         if rows:
             yield pa.RecordBatch.from_arrays([pa.array(c, t.type) for c, t in zip(zip(*rows), _PAIR)], schema=_PAIR)
@@ -413,27 +410,25 @@ def matches(left: DataFrame, left_id: str, right: DataFrame, right_id: str, titl
     whole = F.xxhash64(F.array_join("words", ""))
     titles = l.unionAll(r).where(F.size("names") > 0).select(whole.alias("t"), F.transform("names", lambda x: F.split(x, " ")[0]).alias("s")).groupBy("t").agg(F.count_distinct(F.array_sort("s")).alias("n"))
     sent = spark.sparkContext.broadcast(common)
-    schema = "pid bigint, words array<string>, names array<string>, year int, n bigint, rare array<string>"
-    l, r = (settle(x.withColumn("t", whole).join(titles, "t", "left").select("pid", "words", "names", "year", "n").mapInArrow(partial(_marked, common=sent), schema)) for x in (l, r))
+    l, r = (settle(x.withColumn("t", whole).join(titles, "t", "left").select("pid", "words", "names", "year", "n")) for x in (l, r))
 
     one_in = max(1, n // PLANTED)
-    keyed = lambda x, planted: x.select("pid", "words", "names", "n", "rare").mapInArrow(partial(_blocks, common=sent, hashes=(TITLE_HASHES, SURNAME_HASHES), rare_words=rare_words, planted=planted), "key bigint, pid bigint, planted boolean")
+    keyed = lambda x, planted: x.select("pid", "words", "names", "n").mapInArrow(partial(_blocks, common=sent, hashes=(TITLE_HASHES, SURNAME_HASHES), rare_words=rare_words, planted=planted), "key bigint, pid bigint, planted boolean")
     key_l, key_r = keyed(l, one_in).withColumnRenamed("pid", "l"), keyed(r, 0).select("key", F.col("pid").alias("r"))
     pairs = key_l.join(key_r, "key").select("l", "r", "planted").distinct()
-    renamed = lambda x, p, q: x.select(F.col("pid").alias(p), *[F.col(c).alias(f"{c}_{q}") for c in ("words", "names", "year", "n", "rare")])
+    renamed = lambda x, p, q: x.select(F.col("pid").alias(p), *[F.col(c).alias(f"{c}_{q}") for c in ("words", "names", "year", "n")])
     full = pairs.join(renamed(l, "l", "a"), "l").join(renamed(r, "r", "b"), "r")
     # pairs that no feature could save are left out natively, before Python sees them
     shared = F.size(F.array_intersect("words_a", "words_b"))
     small = F.least(F.size(F.array_distinct("words_a")), F.size(F.array_distinct("words_b")))
     start = lambda c: F.transform(c, lambda n: F.substring(n, 1, 3))
     both_named = (F.size("names_a") > 0) & (F.size("names_b") > 0)
-    telling = F.arrays_overlap("rare_a", "rare_b")
     # a planted profile's own author list does not count
     own = F.col("planted").cast("int")
     single = (F.coalesce("n_a", F.lit(0)) <= 1 + own) & (F.coalesce("n_b", F.lit(0)) <= 1 + own) & F.coalesce(F.abs(F.col("year_a") - F.col("year_b")) <= 1, F.lit(False))
     if screen:
-        full = full.where((shared * 2 >= small) & F.when(both_named & ~F.col("planted"), F.arrays_overlap(start("names_a"), start("names_b"))).otherwise(telling | single))
-    featured = settle(full.select("l", "r", "planted", "words_a", "names_a", "year_a", "words_b", "names_b", "year_b", "n_a", "n_b", "rare_a", "rare_b").mapInArrow(_featured, "l bigint, r bigint, planted boolean, x array<double>, label int"))
+        full = full.where((shared * 2 >= small) & F.when(both_named & ~F.col("planted"), F.arrays_overlap(start("names_a"), start("names_b"))).otherwise(True))
+    featured = settle(full.select("l", "r", "planted", single.alias("single"), F.lit(screen).alias("screened"), "words_a", "names_a", "year_a", "words_b", "names_b", "year_b", "n_a", "n_b").mapInArrow(partial(_featured, common=sent), "l bigint, r bigint, planted boolean, x array<double>, label int"))
     judged = featured.where("label is not null")
 
     def sample(rows: DataFrame) -> list[tuple[list[float], int]]:
